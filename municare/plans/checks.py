@@ -37,6 +37,17 @@ TEAM_KINDS = ("eSF", "eCR", "eAPP", "eAP")
 TEAM_STATES = ("ativa", "desativada")
 
 CHECKS: tuple[Check, ...] = (
+    # raw tables
+    *_key("raw_ibge.municipios", "id_municipio"),
+    *_present("raw_ibge.populacao_estimada", "id_municipio"),
+    *_present("raw_cnes.estabelecimentos", "codigo_cnes"),
+    *_key("raw_cnes.equipes_aps", "id_equipe"),
+    *_key("raw_cnes.estabelecimentos_detalhados", "codigo_cnes"),
+    *_present("raw_cnes.rede_porte_municipio", "cod_municipio_ibge6"),
+    *_key("raw_fns.repasses", "id_lancamento"),
+    *_present("raw_portaltransparencia.recursos_recebidos_saude", "cnpj_favorecido"),
+    *_present("raw_sia.producao_ambulatorial", "competencia_arquivo"),
+    *_key("raw_sih.internacoes", "numero_aih"),
     # seeds
     *_key("seed_cnes_natureza_juridica", "codigo_natureza_juridica"),
     *_present("seed_cnes_natureza_juridica", "descricao_natureza_juridica"),

@@ -38,11 +38,15 @@ def model(name: str, *reads: str, small: bool = False):
 
 
 class Workspace:
-    """Resolves relation names to DataFrames: given tables first, then models and seeds."""
+    """Resolves relation names to DataFrames: given tables first, then models and seeds. A
+    table may be given as a function that makes it when it is first read."""
 
-    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame]):
+    def __init__(
+        self, spark: SparkSession, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]
+    ):
         self.spark = spark
-        self._known: dict[str, DataFrame] = dict(tables)
+        self._given = tables
+        self._known: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._known:
@@ -55,6 +59,9 @@ class Workspace:
         self._known[name] = bounded(table) if found and found.small else table
 
     def _make(self, name: str) -> DataFrame:
+        if name in self._given:
+            given = self._given[name]
+            return given() if callable(given) else given
         if name in SEED_SCHEMAS:
             return read_seed(self.spark, name)
         if name == SCOPE:
