@@ -59,11 +59,15 @@ def replace_partitions(
     files of a partition with rows stay until the new ones are committed.
     """
     spark = batch.sparkSession
-    inside = reduce(lambda a, b: a | b, [_matches(p) for p in partitions])
+    columns = list(partitions[0])
+    if len(columns) == 1:
+        inside = F.coalesce(F.col(columns[0]).isin([p[columns[0]] for p in partitions]), F.lit(False))
+    else:
+        inside = reduce(lambda a, b: a | b, [_matches(p) for p in partitions])
     guarded = _refuse(batch, ~inside, "batch holds rows outside the named partitions")
     folders = [f"{path}/{_folder(p)}" for p in partitions]
     before = {f: storage.names(spark, f) for f in folders}
-    _write(guarded, path, list(partitions[0]))
+    _write(guarded, path, columns)
     for folder, files in before.items():
         if files and storage.names(spark, folder) == files:
             storage.remove(spark, folder)
