@@ -16,7 +16,7 @@ from municare.catalog import QUERIES
 from municare.catalog.landed import raw_tables
 from municare.plans import MODELS, Workspace
 from municare.session import build_session, shared_folder
-from municare.sinks import read_table, refresh_incremental
+from municare.sinks import read_table, refresh_incremental, replace_partitions
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -57,15 +57,20 @@ def main() -> None:
 
     root = shared_folder(spark, "bench")
     raw = raw_tables(spark, FOLDER)["raw_sia.producao_ambulatorial"]()
-    raw.write.parquet(f"{root}/raw")
-    stored = spark.read.parquet(f"{root}/raw")
+    arrivals = [r[0] for r in raw.select("competencia_arquivo").distinct().collect()]
+    replace_partitions(raw, f"{root}/raw", [{"competencia_arquivo": a} for a in arrivals])
+    stored = read_table(spark, f"{root}/raw", raw.schema)
     lines = stored.count()
     space = Workspace(spark, {**raw_tables(spark, FOLDER), "raw_sia.producao_ambulatorial": stored})
     fact = MODELS["fct_producao_ambulatorial"]
     staged, bridge = (space[name] for name in fact.reads)
     seconds["stored_backfill"] = timed(
         lambda: refresh_incremental(
-            staged, f"{root}/fact", lambda rows: fact.build(rows, bridge), "competencia_arquivo"
+            staged,
+            f"{root}/fact",
+            lambda rows: fact.build(rows, bridge),
+            "competencia_arquivo",
+            aligned=True,
         )
     )
     schema = fact.build(staged, bridge).schema

@@ -42,6 +42,11 @@ def pick(values: list[str], k: str) -> str:
     return f"(case {k} {cases} end)"
 
 
+def month_text(day: str) -> str:
+    """SQL: yyyyMM text of a date."""
+    return f"cast(year({day}) * 100 + month({day}) as string)"
+
+
 TAX_IDS = ["42498733000148", "29172475000147", "29138278000101", "00000000000000"]
 DOTTED_TAX_IDS = ["42.498.733/0001-48", "29.172.475/0001-47", "29.138.278/0001-01",
                   "00.000.000/0000-00"]
@@ -111,7 +116,7 @@ def population(spark: SparkSession, folder: str) -> DataFrame:
 def facility_file(spark: SparkSession, folder: str) -> DataFrame:
     """One line per customer and month with an order, in the facility layout."""
     months = table(spark, folder, "orders").select(
-        "o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("m")
+        "o_custkey", F.expr(month_text("o_orderdate")).alias("m")
     ).distinct()
     return months.selectExpr(
         "lpad(cast(o_custkey as string), 7, '0') as CNES",
@@ -191,7 +196,7 @@ def production_file(spark: SparkSession, folder: str) -> DataFrame:
         "lpad(cast(l_suppkey as string), 7, '0') as PA_CODUNI",
         f"{code6('l_suppkey % 27')} as PA_UFMUN",
         f"{code6('l_partkey % 27')} as PA_MUNPCN",
-        "date_format(l_shipdate, 'yyyyMM') as PA_CMP",
+        f"{month_text('l_shipdate')} as PA_CMP",
         "concat(lpad(cast(l_partkey % 10 + 1 as string), 2, '0'),"
         " lpad(cast(l_partkey as string), 8, '0')) as PA_PROC_ID",
         "cast(223500 + l_linenumber as string) as PA_CBOCOD",
@@ -204,7 +209,7 @@ def production_file(spark: SparkSession, folder: str) -> DataFrame:
         "cast(cast(l_extendedprice as decimal(18,2)) as string) as PA_VALPRO",
         "cast(cast(l_extendedprice as decimal(18,2)) - l_linenumber as string) as PA_VALAPR",
         "if(l_linestatus = 'O', 'I', 'C') as PA_DOCORIG",
-        "date_format(add_months(l_shipdate, l_linenumber % 3), 'yyyyMM') as competencia_arquivo",
+        f"{month_text('add_months(l_shipdate, l_linenumber % 3)')} as competencia_arquivo",
     )
 
 

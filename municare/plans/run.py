@@ -23,7 +23,8 @@ def build_marts(
 ) -> Workspace:
     """Views stay views (lazy, and temporary views by name); marts become tables under
     ``<root>/marts``, and the production fact only refreshes the arrival periods that changed
-    or the one given by ``bootstrap_period``. Later models read the stored marts."""
+    or the one given by ``bootstrap_period``, without a shuffle, as the raw table is stored by
+    arrival period too. Later models read the stored marts."""
     space = Workspace(spark, raw)
     for name in build_order(names):
         found = MODELS[name]
@@ -39,6 +40,7 @@ def build_marts(
                 lambda rows: found.build(rows, bridge),
                 "competencia_arquivo",
                 only=bootstrap_period,
+                aligned=True,
             )
             space.put(name, read_table(spark, path, found.build(staged, bridge).schema))
         else:

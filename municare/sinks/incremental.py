@@ -28,11 +28,13 @@ def refresh_incremental(
     partition: str,
     loaded_at: str = "_loaded_at",
     only: str | None = None,
+    aligned: bool = False,
 ) -> list:
     """Rebuild the stale partitions whole, or only the one named by ``only``; returns them.
 
     ``build`` decides the columns: the table is read under its schema from then on, so added
-    columns are NULL in partitions not rebuilt yet and dropped ones are gone.
+    columns are NULL in partitions not rebuilt yet and dropped ones are gone. ``aligned``
+    says that the source is stored by the same partitions, which makes the refresh map-only.
     """
     spark = source.sparkSession
     shape = build(source).schema
@@ -42,5 +44,5 @@ def refresh_incremental(
         chosen = stale_partitions(source, read_table(spark, path, shape), partition, loaded_at)
     if chosen:
         fresh = build(source.filter(F.col(partition).isin(chosen)))
-        replace_partitions(fresh, path, [{partition: value} for value in chosen])
+        replace_partitions(fresh, path, [{partition: value} for value in chosen], aligned)
     return chosen

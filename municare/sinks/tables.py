@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from municare import storage
 from municare.operators.merge import merge_latest
+from municare.sources.validate import refuse
 
 SLOT = "_slot"
 SLOTS = 64
@@ -32,11 +33,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
-def _write(rows: DataFrame, path: str, partitions: Sequence[str]) -> None:
-    """Dynamic overwrite. The rebalance splits a partition that holds most of the rows over
-    several tasks and joins small ones, so no task writes a whole hot partition."""
+def _write(rows: DataFrame, path: str, partitions: Sequence[str], gather: bool = True) -> None:
+    """Dynamic overwrite. Gathering rebalances the rows by partition: a partition that holds
+    most of them is split over several tasks and small ones share a task, so neither one
+    task nor a flood of small files results. It costs a shuffle, which rows that already lie
+    together by partition do without."""
     (
-        rows.hint("rebalance", *partitions)
+        (rows.hint("rebalance", *partitions) if gather else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
@@ -49,9 +52,14 @@ def _matches(partition: Mapping[str, object]) -> Column:
 
 
 def replace_partitions(
-    batch: DataFrame, path: str, partitions: Sequence[Mapping[str, object]]
+    batch: DataFrame,
+    path: str,
+    partitions: Sequence[Mapping[str, object]],
+    aligned: bool = False,
 ) -> None:
-    """Replace the named partitions by the batch, and nothing else.
+    """Replace the named partitions by the batch, and nothing else. ``aligned`` says that the
+    batch is read from files laid out by the same partitions and needs no shuffle; a batch
+    of one partition never does.
 
     The partitions are named by the caller (the arrival period it fetched), never taken from
     the rows, so late rows cannot wipe another period. A named partition without rows ends
@@ -64,21 +72,15 @@ def replace_partitions(
         inside = F.coalesce(F.col(columns[0]).isin([p[columns[0]] for p in partitions]), F.lit(False))
     else:
         inside = reduce(lambda a, b: a | b, [_matches(p) for p in partitions])
-    guarded = _refuse(batch, ~inside, "batch holds rows outside the named partitions")
+    guarded = refuse(batch, ~inside, "batch holds rows outside the named partitions")
     folders = [f"{path}/{_folder(p)}" for p in partitions]
     before = {f: storage.names(spark, f) for f in folders}
-    _write(guarded, path, columns)
+    _write(guarded, path, columns, gather=not aligned and len(partitions) > 1)
     for folder, files in before.items():
         if files and storage.names(spark, folder) == files:
             storage.remove(spark, folder)
 
 
-def _refuse(rows: DataFrame, bad: Column, message: str) -> DataFrame:
-    """Fail the job on the first bad row instead of writing it."""
-    stop = F.raise_error(F.lit(message)).cast("boolean")
-    return rows.filter(F.when(bad, stop).otherwise(F.lit(True)))
-
-
 def _folder(partition: Mapping[str, object]) -> str:
     """Folder of a partition, special characters written as Spark writes them."""
     return "/".join(
@@ -103,7 +105,7 @@ def upsert(
     spark = batch.sparkSession
     order = [c for c in newest_first if c in batch.columns]
     unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    checked = _refuse(batch, unkeyed, f"NULL in key {list(keys)}")
+    checked = refuse(batch, unkeyed, f"NULL in key {list(keys)}")
     slot = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(slots)).cast("int")
     fresh = checked.withColumn(SLOT, slot)
     touched = [r[0] for r in fresh.select(SLOT).distinct().collect()]  # at most ``slots`` rows

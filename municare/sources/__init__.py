@@ -14,6 +14,8 @@ from municare.sources.validate import (
     MissingField,
     PageLimitReached,
     field_audit,
+    must,
+    refuse,
     require_columns,
     require_fields,
     require_rows,
@@ -30,6 +32,7 @@ __all__ = [
     "field_audit",
     "find_parts",
     "monthly_prefix",
+    "must",
     "normalize",
     "provenance",
     "read_parts",
@@ -37,6 +40,7 @@ __all__ = [
     "read_seed",
     "reference_municipalities",
     "reject_full_pages",
+    "refuse",
     "require_columns",
     "require_fields",
     "require_rows",

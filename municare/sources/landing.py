@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municare import storage
-from municare.sources.validate import EmptySource, MissingField
+from municare.sources.validate import EmptySource, must
 
 SOURCE_FILE = "_source_file"
 
@@ -59,22 +59,18 @@ def read_records(
     text = spark.read.text(path, wholetext=whole).select(
         F.col("value"), F.col("_metadata.file_name").alias(SOURCE_FILE)
     )
-    return records_from_text(text, layout, envelope)
+    return records_from_text(text.filter(F.trim("value") != ""), layout, envelope)
 
 
 def records_from_text(text: DataFrame, layout: str = "lines", envelope: str | None = None) -> DataFrame:
     """The same, from a DataFrame (value, _source_file) of JSON documents."""
     if layout == "lines":
-        records = text.withColumnRenamed("value", "record").filter(F.trim("record") != "")
+        records = text.withColumnRenamed("value", "record")
     else:
         body = F.col("value")
         if layout == "envelope":
-            body = F.from_json(body, "map<string,string>")[envelope]
-            checked = text.withColumn("__body", body)
-            bare = checked.filter(F.col("__body").isNull()).first()
-            if bare is not None:
-                raise MissingField(f"{bare[SOURCE_FILE]}: response without '{envelope}'")
-            text, body = checked, F.col("__body")
+            told = F.concat(F.col(SOURCE_FILE), F.lit(f": response without '{envelope}'"))
+            body = must(F.from_json("value", "map<string,string>")[envelope], told)
         records = text.select(
             F.explode(F.from_json(body, "array<string>")).alias("record"), SOURCE_FILE
         )

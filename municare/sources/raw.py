@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from municare.functions import digits_only, join_period, zero_pad
 from municare.sources.landing import SOURCE_FILE
 from municare.sources.lookups import REFERENCE_CODES
-from municare.sources.validate import require_columns, require_fields, require_paths
+from municare.sources.validate import must, require_columns, require_fields
 
 # Care team types that count as primary care.
 PRIMARY_CARE_TEAM_TYPES = ("70", "73", "74", "76")
@@ -384,7 +384,7 @@ def normalize(rows: DataFrame, table: str, scope: Mapping[str, tuple[str, ...]]
     source = SOURCES[table]
     wanted = source.scope if scope is None else scope
     if "fields" in rows.columns and "record" in rows.columns:
-        require_fields(rows, list(source.fields), table)
+        rows = require_fields(rows, list(source.fields), table)
         every = [*source.fields, *source.optional]
         rows = rows.select(
             *[F.col("fields")[name].alias(name) for name in every], F.col(SOURCE_FILE)
@@ -428,20 +428,18 @@ def territory(records: DataFrame) -> DataFrame:
     """Municipality documents to flat rows. A municipality without a micro-region takes its
     state from the immediate region and has no micro and meso region."""
     table = "raw_ibge.municipios"
-    require_fields(records, ["id", "nome"], table)
-    place = records.select(F.from_json("record", TERRITORY_SCHEMA).alias("p")).select("p.*")
+    complete = require_fields(records, ["id", "nome"], table)
+    # Reading ``fields`` keeps its check in the plan.
+    whole = F.when(F.col("fields").isNotNull(), F.col("record"))
+    place = complete.select(F.from_json(whole, TERRITORY_SCHEMA).alias("p")).select("p.*")
     micro = F.col("microrregiao")
     state = F.when(micro.isNotNull(), micro["mesorregiao"]["UF"]).otherwise(
         F.col("`regiao-imediata`")["regiao-intermediaria"]["UF"]
     )
-    require_paths(
-        place,
-        {
-            "microrregiao.mesorregiao.UF or regiao-imediata.regiao-intermediaria.UF": state,
-            "UF.regiao": state["regiao"],
-        },
-        table,
-    )
+    paths = "microrregiao.mesorregiao.UF or regiao-imediata.regiao-intermediaria.UF"
+    place = place.withColumn("state", must(state, f"{table}: {paths} unresolved"))
+    state = F.col("state")
+    region = must(state["regiao"], f"{table}: UF.regiao unresolved")
     return place.select(
         F.col("id").alias("id_municipio"),
         F.col("nome").alias("nome_municipio"),
@@ -452,9 +450,9 @@ def territory(records: DataFrame) -> DataFrame:
         state["id"].alias("id_uf"),
         state["sigla"].alias("sigla_uf"),
         state["nome"].alias("nome_uf"),
-        state["regiao"]["id"].alias("id_regiao"),
-        state["regiao"]["sigla"].alias("sigla_regiao"),
-        state["regiao"]["nome"].alias("nome_regiao"),
+        region["id"].alias("id_regiao"),
+        region["sigla"].alias("sigla_regiao"),
+        region["nome"].alias("nome_regiao"),
     )
 
 
@@ -470,14 +468,13 @@ def population(documents: DataFrame) -> DataFrame:
     table = "raw_ibge.populacao_estimada"
     body = F.from_json("value", " ".join(POPULATION_SCHEMA.split()))
     series = F.try_element_at(F.try_element_at(body, F.lit(1))["resultados"], F.lit(1))["series"]
-    opened = documents.select(series.alias("series"))
-    require_paths(opened, {"resultados[0].series": F.col("series")}, table)
-    places = opened.select(F.explode("series").alias("s")).select(
-        F.col("s.localidade.id").alias("id"),
+    found = must(series, f"{table}: resultados[0].series unresolved")
+    point = F.try_element_at(F.map_entries("s.serie"), F.lit(1))
+    places = documents.select(F.explode(found).alias("s")).select(
+        must(F.col("s.localidade.id"), f"{table}: localidade.id unresolved").alias("id"),
         F.col("s.localidade.nome").alias("nome"),
-        F.try_element_at(F.map_entries("s.serie"), F.lit(1)).alias("point"),
+        must(point, f"{table}: empty serie").alias("point"),
     )
-    require_paths(places, {"localidade.id": F.col("id"), "serie": F.col("point")}, table)
     return places.select(
         F.col("id").cast("int").alias("id_municipio"),
         F.col("nome").alias("nome_municipio"),

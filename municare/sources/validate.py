@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,13 +51,33 @@ def _lacks(fields: str, name: str) -> Column:
     return F.col(fields).isNull() | ~F.map_contains_key(F.col(fields), name)
 
 
+def refuse(rows: DataFrame, bad: Column, message: Column | str) -> DataFrame:
+    """Stop the job at the first bad row. The check rides on the pass that uses the rows, and
+    the sinks commit nothing of a job that failed."""
+    text = F.lit(message) if isinstance(message, str) else message
+    stop = F.raise_error(text).cast("boolean")
+    return rows.filter(F.when(bad, stop).otherwise(F.lit(True)))
+
+
+def must(value: Column, message: Column | str) -> Column:
+    """The value, or a stopped job where it is NULL."""
+    return F.coalesce(value, F.raise_error(F.lit(message) if isinstance(message, str) else message))
+
+
 def require_fields(records: DataFrame, required: Sequence[str], source: str) -> DataFrame:
-    """Raise when any record lacks a required key."""
-    bad = field_audit(records, required).filter("missing > 0").orderBy("field").collect()
-    if bad:
-        told = "; ".join(f"{r['field']} absent in {r['missing']} record(s)" for r in bad)
-        raise MissingField(f"{source}: {told}; for example {bad[0]['example']}")
-    return records
+    """Stop when a record lacks a required key; ``field_audit`` counts all such records. The
+    check sits in the key/value column itself, so every record is parsed once."""
+    keys = F.coalesce(F.map_keys("fields"), F.array())
+    absent = F.array_except(F.array(*[F.lit(f) for f in required]), keys)
+    told = F.concat(
+        F.lit(f"{source}: required field(s) "),
+        F.array_join(absent, ", "),
+        F.lit(" absent in "),
+        F.coalesce(F.col("record"), F.lit("an empty record")),
+    )
+    complete = ~reduce(lambda a, b: a | b, [_lacks("fields", f) for f in required])
+    checked = F.when(complete, F.col("fields"))
+    return records.withColumn("fields", must(checked, told))
 
 
 def require_rows(rows: DataFrame, source: str) -> DataFrame:
@@ -73,13 +94,3 @@ def reject_full_pages(rows: DataFrame, limit: int, source: str, per: str = "_sou
             f"{source}: {full[per]} holds {full['count']} records, the page limit is {limit}"
         )
     return rows
-
-
-def require_paths(rows: DataFrame, paths: dict[str, Column], source: str) -> DataFrame:
-    """Raise when a nested path that must resolve is NULL in some record."""
-    counts = rows.agg(*[F.count_if(c.isNull()).alias(name) for name, c in paths.items()]).first()
-    broken = {name: counts[name] for name in paths if counts[name]}
-    if broken:
-        told = "; ".join(f"{name} unresolved in {n} record(s)" for name, n in broken.items())
-        raise MissingField(f"{source}: {told}")
-    return rows
