@@ -30,7 +30,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     written reads as empty."""
     if not storage.exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def _write(rows: DataFrame, path: str, partitions: Sequence[str], gather: bool = True) -> None:
