@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municare.catalog.registry import comparable, query, table
-from municare.operators import keep_other_partitions, merge_latest
+from municare.operators import keep_other_partitions, latest_per_key, upsert_rows
 from municare.session import shared_folder
 from municare.sinks import (
     read_table,
@@ -26,7 +26,7 @@ LAST_LINE = f"""
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus, l_extendedprice,
     cast(l_shipdate as date) as l_shipdate
 from (select *, row_number() over (partition by l_orderkey, l_linenumber
-    order by {", ".join(c + " desc" for c in LINE_ORDER)}) as r from lineitem)
+    order by l_linestatus desc, {", ".join(c + " desc" for c in LINE_ORDER)}) as r from lineitem)
 where r = 1"""
 
 
@@ -39,9 +39,11 @@ def _shown(rows: DataFrame) -> DataFrame:
 
 @query("q23_upsert_last_wins", LAST_LINE)
 def upsert_last_wins(spark: SparkSession, folder: str) -> DataFrame:
+    """Finished lines are stored first; open lines of the same key replace them."""
     lines = table(spark, folder, "lineitem")
     stored, batch = (lines.filter(F.col("l_linestatus") == s) for s in ("F", "O"))
-    return _shown(merge_latest(stored, batch, LINE_KEYS, LINE_ORDER))
+    stored = latest_per_key(stored, LINE_KEYS, LINE_ORDER)
+    return _shown(upsert_rows(stored, batch, LINE_KEYS, LINE_ORDER))
 
 
 @query("q23_upsert_stored", LAST_LINE)

@@ -11,9 +11,9 @@ from municare.operators.lookup import (
     membership_flag,
     role_lookup,
 )
-from municare.operators.merge import keep_other_partitions, merge_latest
+from municare.operators.merge import keep_other_partitions, upsert_rows
 from municare.operators.ranges import range_lookup, resolve_codes
-from municare.operators.skew import join_facts_back
+from municare.operators.skew import join_facts_back, spread_lookup
 
 __all__ = [
     "aggregate_then_label",
@@ -27,11 +27,12 @@ __all__ = [
     "ledger_entries",
     "left_lookup",
     "membership_flag",
-    "merge_latest",
     "presence_status",
     "range_lookup",
     "resolve_codes",
     "role_lookup",
     "rule",
+    "spread_lookup",
     "union_ledgers",
+    "upsert_rows",
 ]

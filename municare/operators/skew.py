@@ -1,14 +1,51 @@
-"""Bring per-key facts back to their rows when one key may own a third of the table."""
+"""Joins on a key that may own a third of the rows.
+
+AQE splits a hot partition of a join only where both sides come straight from a shuffle; it
+leaves alone a side that is an aggregate or a window on the same key. These joins spread the
+hot keys themselves. A key is hot when it owns more than 1/``hot_limit`` of all rows, so
+fewer than ``hot_limit`` keys can be hot and their list may be broadcast. Rows of a hot key
+are dealt to ``spread`` slots and its rows on the other side are repeated once per slot; every
+other key keeps slot 0.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEY_LIMIT = 1_000
 SPREAD = 64
+SLOT = "__slot"
+
+
+def _hot(counts: DataFrame, keys: Sequence[str], weight: str, hot_limit: int) -> DataFrame:
+    threshold = counts.agg(F.sum(weight) / F.lit(hot_limit)).scalar()
+    names = [F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)]
+    return F.broadcast(
+        counts.filter(F.col(weight) > threshold).select(*names, F.lit(True).alias("__is_hot"))
+    )
+
+
+def _slotted(side: DataFrame, keys: Sequence[str], hot: DataFrame, slot: Column) -> DataFrame:
+    names = [f"__hot_{i}" for i in range(len(keys))]
+    # <=> so that NULL can be a hot key too.
+    condition = [side[k].eqNullSafe(hot[n]) for k, n in zip(keys, names)]
+    marked = side.join(hot, condition, "left").withColumn(SLOT, slot)
+    return marked.drop("__is_hot", *names)
+
+
+def _deal(columns: Sequence[str], spread: int) -> Column:
+    """A slot that stays the same when a task is retried; the partition id in it spreads
+    identical copies too."""
+    dealt = F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.lit(spread)).cast("int")
+    return F.when(F.col("__is_hot"), dealt).otherwise(F.lit(0))
+
+
+def _repeat(spread: int) -> Column:
+    last = F.when(F.col("__is_hot"), F.lit(spread - 1)).otherwise(F.lit(0))
+    return F.explode(F.sequence(F.lit(0), last))
 
 
 def join_facts_back(
@@ -19,37 +56,40 @@ def join_facts_back(
     hot_limit: int = HOT_KEY_LIMIT,
     spread: int = SPREAD,
 ) -> DataFrame:
-    """Inner join of ``rows`` with one-row-per-key ``facts`` without a hot reducer.
-
-    ``weight`` is the number of rows behind a key. A key is hot when it owns more than
-    1/``hot_limit`` of all rows, so fewer than ``hot_limit`` keys can be hot and that list
-    may be broadcast. Rows of a hot key are dealt to ``spread`` slots, and its single fact
-    row is repeated once per slot; every other key keeps slot 0. AQE cannot do this here:
-    it does not split a join whose side is an aggregate on the same key.
-    """
+    """Inner join of ``rows`` with facts aggregated from them, one row per key. ``weight`` is
+    the number of rows behind a key. NULL is a key like any other, as in a window."""
     keys = list(keys)
-    # <=> keeps rows whose key is NULL, as a window partition would.
-    hot_names = {k: f"__hot_{i}" for i, k in enumerate(keys)}
-    fact_names = {k: f"__fact_{i}" for i, k in enumerate(keys)}
-    is_hot = F.col(weight) > facts.agg(F.sum(weight) / F.lit(hot_limit)).scalar()
-    hot = F.broadcast(
-        facts.filter(is_hot).select(
-            *[F.col(k).alias(a) for k, a in hot_names.items()], F.lit(True).alias("__is_hot")
-        )
-    )
-    # Deterministic under task retries; the partition id spreads identical copies too.
-    deal = F.pmod(F.xxhash64(*rows.columns) + F.spark_partition_id(), F.lit(spread)).cast("int")
-    left = (
-        rows.join(hot, [rows[k].eqNullSafe(hot[a]) for k, a in hot_names.items()], "left")
-        .withColumn("__slot", F.when(F.col("__is_hot"), deal).otherwise(F.lit(0)))
-        .drop("__is_hot", *hot_names.values())
-    )
-    last_slot = F.when(is_hot, F.lit(spread - 1)).otherwise(F.lit(0))
-    right = (
-        facts.withColumn("__fact_slot", F.explode(F.sequence(F.lit(0), last_slot)))
-        .withColumnsRenamed(fact_names)
-        .drop(weight)
+    names = {k: f"__fact_{i}" for i, k in enumerate(keys)}
+    hot = _hot(facts, keys, weight, hot_limit)
+    left = _slotted(rows, keys, hot, _deal(rows.columns, spread))
+    right = _slotted(facts, keys, hot, _repeat(spread)).drop(weight)
+    right = right.withColumnsRenamed({**names, SLOT: "__fact_slot"})
+    condition = [left[k].eqNullSafe(right[n]) for k, n in names.items()]
+    condition.append(left[SLOT] == right["__fact_slot"])
+    return left.join(right, condition, "inner").drop(SLOT, "__fact_slot", *names.values())
+
+
+def spread_lookup(
+    rows: DataFrame,
+    table: DataFrame,
+    on: Mapping[str, str],
+    take: Mapping[str, str],
+    hot_limit: int = HOT_KEY_LIMIT,
+    spread: int = SPREAD,
+) -> DataFrame:
+    """Left join like ``left_lookup`` for a table too large to broadcast: hot and missing keys
+    of the rows are spread over many reducers."""
+    keys = list(on)
+    names = {key: f"__key_{i}" for i, key in enumerate(on.values())}
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
+    hot = _hot(counts, keys, "__n", hot_limit)
+    left = _slotted(rows, keys, hot, _deal(rows.columns, spread))
+    side = table.select(
+        *[F.col(k).alias(n) for k, n in names.items()],
+        *[F.col(c).alias(name) for c, name in take.items()],
     )
-    condition = [left[k].eqNullSafe(right[a]) for k, a in fact_names.items()]
-    condition.append(left["__slot"] == right["__fact_slot"])
-    return left.join(right, condition, "inner").drop("__slot", "__fact_slot", *fact_names.values())
+    right = _slotted(side, list(names.values()), hot, _repeat(spread))
+    right = right.withColumnRenamed(SLOT, "__table_slot")
+    condition = [left[c] == right[names[k]] for c, k in on.items()]
+    condition.append(left[SLOT] == right["__table_slot"])
+    return left.join(right, condition, "left").drop(SLOT, "__table_slot", *names.values())

@@ -30,6 +30,7 @@ from municare.operators import (
     range_lookup,
     role_lookup,
     rule,
+    spread_lookup,
     union_ledgers,
 )
 from municare.plans.registry import SCOPE, model
@@ -341,7 +342,7 @@ def peers(
 @model("mart_equipe_aps_detalhada", "stg_cnes__equipes_aps", "dim_estabelecimento", BRIDGE)
 def team_listing(teams: DataFrame, facilities: DataFrame, bridge: DataFrame) -> DataFrame:
     """One row per care team with its facility and municipality; nothing is aggregated."""
-    rows = left_lookup(
+    rows = spread_lookup(
         teams,
         facilities,
         {"codigo_cnes": "codigo_cnes"},

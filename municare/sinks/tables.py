@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from municare import storage
-from municare.operators.merge import merge_latest
+from municare.operators.history import latest_per_key
+from municare.operators.lookup import MAX_BROADCAST_ROWS
 from municare.sources.validate import refuse
 
 SLOT = "_slot"
@@ -96,27 +97,29 @@ def upsert(
     newest_first: Sequence[str] = ("_loaded_at", "_source_file"),
     slots: int = SLOTS,
 ) -> None:
-    """Upsert by natural key, last write wins, NULL keys refused.
+    """Upsert by natural key: the batch wins over the table, its newest version of a key wins
+    within the batch, NULL keys are refused.
 
-    Rows live in slots by key hash; only the slots the batch touches are read and rewritten.
-    The merged slots are written to a staging folder first, because a job cannot overwrite
-    the files it reads; a rerun after a failure starts from the untouched table.
+    Rows live in slots by key hash; only the slots the batch touches are read and rewritten,
+    in one pass. Dynamic overwrite keeps the files being read until the job commits, so a
+    lost executor or a failed job leaves the table as it was. When the batch's keys pass the
+    broadcast check the stored rows are not shuffled at all.
     """
     spark = batch.sparkSession
     order = [c for c in newest_first if c in batch.columns]
     unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     checked = refuse(batch, unkeyed, f"NULL in key {list(keys)}")
     slot = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(slots)).cast("int")
-    fresh = checked.withColumn(SLOT, slot)
-    touched = [r[0] for r in fresh.select(SLOT).distinct().collect()]  # at most ``slots`` rows
+    latest = latest_per_key(checked.withColumn(SLOT, slot), keys, order)
+    touched = {r[0]: r[1] for r in latest.groupBy(SLOT).count().collect()}  # one row per slot
     if not touched:
         return
-    stored = read_table(spark, path, fresh.schema).filter(F.col(SLOT).isin(touched))
-    merged = merge_latest(stored, fresh, [*keys, SLOT], order)
-    staging = f"{path}__staging-{uuid.uuid4().hex}"
-    _write(merged, staging, [SLOT])
-    _write(spark.read.schema(fresh.schema).parquet(staging), path, [SLOT])
-    storage.remove(spark, staging)
+    stored = read_table(spark, path, latest.schema).filter(F.col(SLOT).isin(list(touched)))
+    few = sum(touched.values()) <= MAX_BROADCAST_ROWS
+    replaced = F.broadcast(latest.select(*keys)) if few else latest.select(*keys)
+    kept = stored.join(replaced, list(keys), "left_anti").select(*latest.columns)
+    fresh = latest.hint("rebalance", SLOT) if few else latest
+    _write(kept.unionByName(fresh), path, [SLOT], gather=not few)
 
 
 def read_upserted(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -166,12 +166,24 @@ def test_alert_without_municipality_has_no_id(spark):
     assert {r.status for r in got.values()} == {"ativo"}
 
 
-def test_merge_latest_replaces_every_column(spark):
-    old = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, t int")
-    new = spark.createDataFrame([(2, None, 2), (3, "c", 2)], "k int, v string, t int")
-    got = op.merge_latest(old, new, ["k"], ["t"])
-    assert sorted((r.k, r.v) for r in got.collect() if r.v) == [(1, "a"), (3, "c")]
-    assert got.filter("k = 2 and v is null").count() == 1
+def test_upsert_rows_replaces_every_column_even_with_an_older_stamp(spark):
+    old = spark.createDataFrame([(1, "a", 5), (2, "b", 5)], "k int, v string, t int")
+    new = spark.createDataFrame([(2, None, 2), (2, "x", 1), (3, "c", 2)], "k int, v string, t int")
+    got = op.upsert_rows(old, new, ["k"], ["t"])
+    assert sorted(map(tuple, got.collect())) == [(1, "a", 5), (2, None, 2), (3, "c", 2)]
+
+
+def test_spread_lookup_equals_left_lookup_with_hot_and_missing_keys(spark):
+    rows = spark.range(0, 3000, 1, 4).select(
+        "id", F.expr("case id % 3 when 0 then 'hot' when 1 then null else 'k' || id % 50 end").alias("k")
+    )
+    table = spark.range(0, 30).selectExpr("'k' || id as c", "id as n").union(
+        spark.sql("values ('hot', 99L), ('k1', 1000L), (null, 5L)")
+    )
+    plain = op.left_lookup(rows, table, {"k": "c"}, {"n": "n"})
+    spread = op.spread_lookup(rows, table, {"k": "c"}, {"n": "n"}, hot_limit=10, spread=8)
+    assert spread.columns == plain.columns
+    assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, plain.collect()))
 
 
 def test_keep_other_partitions_with_an_empty_batch(spark):

@@ -103,6 +103,17 @@ def test_upsert_last_write_wins_and_rerun_changes_nothing(spark, folder):
     assert content(stored.select("k", "v")) == [(1, "a"), (2, "new"), (3, None)]
 
 
+def test_upsert_beyond_the_broadcast_check(spark, folder, monkeypatch):
+    from municare.sinks import tables
+
+    monkeypatch.setattr(tables, "MAX_BROADCAST_ROWS", 2)
+    first = spark.range(50).selectExpr("cast(id as int) as k", "'a' as v", "'x' as m")
+    upsert(first, folder, ["k"], ["m"], slots=4)
+    upsert(first.filter("k < 20").withColumn("v", F.lit("b")), folder, ["k"], ["m"], slots=4)
+    stored = read_upserted(spark, folder, first.schema)
+    assert content(stored.groupBy("v").count()) == [("a", 30), ("b", 20)]
+
+
 def test_upsert_refuses_null_keys(spark, folder):
     with pytest.raises(Exception, match="NULL in key"):
         upsert(rows(spark, (None, "a", "x")), folder, ["k"], ["m"])
