@@ -50,7 +50,8 @@ def timed(work) -> float:
 
 
 def main() -> None:
-    spark = build_session("bench", f"local[{CPUS}]", **{"spark.sql.shuffle.partitions": CPUS})
+    settings = {"spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "8g"}
+    spark = build_session("bench", f"local[{CPUS}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     discard(QUERIES["q05_share_by_area_year"](spark, FOLDER))  # start the JVM's engine
     seconds = {name: timed(lambda: discard(QUERIES[name](spark, FOLDER))) for name in HEADLINE}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,7 +80,15 @@ def run(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
             else:
                 continue
             results.append(found.select(*_head(c), "failures"))
-    return reduce(DataFrame.unionByName, results)
+    return _union(results)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """Union in pairs: a chain would be analysed again for every part added."""
+    while len(parts) > 1:
+        paired = [a.unionByName(b) for a, b in zip(parts[::2], parts[1::2])]
+        parts = paired + parts[2 * len(paired) :]
+    return parts[0]
 
 
 def _head(check: Check) -> list[Column]:

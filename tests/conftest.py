@@ -13,7 +13,8 @@ from municare.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4"})
+    settings = {"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"}
+    session = build_session("tests", "local[8]", **settings)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

