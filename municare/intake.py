@@ -51,13 +51,24 @@ UPSERT_KEYS = {
     **{name: s.keys for name, s in SOURCES.items() if s.write == "upsert"},
 }
 
+# Upserted tables whose key holds a period: a load rewrites its own periods only.
+PERIOD_IN_KEY = {
+    "raw_ibge.populacao_estimada": "ano_referencia",
+    "raw_cnes.estabelecimentos": "competencia",
+}
+
 
 def raw_path(root: str, table: str) -> str:
     return table_path(root, *table.split("."))
 
 
 def _upsert(rows: DataFrame, root: str, table: str) -> None:
-    upsert(rows.select(*raw_schema(table).names), raw_path(root, table), UPSERT_KEYS[table])
+    upsert(
+        rows.select(*raw_schema(table).names),
+        raw_path(root, table),
+        UPSERT_KEYS[table],
+        within=PERIOD_IN_KEY.get(table),
+    )
 
 
 def _replace(
@@ -144,6 +155,9 @@ def open_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Every raw table under its declared columns; a table never loaded is empty."""
     tables = {}
     for name in RAW_SCHEMAS:
-        read = read_upserted if name in UPSERT_KEYS else read_table
-        tables[name] = read(spark, raw_path(root, name), raw_schema(name))
+        path, schema = raw_path(root, name), raw_schema(name)
+        if name in UPSERT_KEYS:
+            tables[name] = read_upserted(spark, path, schema, PERIOD_IN_KEY.get(name))
+        else:
+            tables[name] = read_table(spark, path, schema)
     return tables

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from municare import storage
+
 # Partition values such as '202501' must stay text, casts must fail loudly, and hot
 # shuffle partitions must be split at run time.
 REQUIRED_SETTINGS = {
@@ -38,17 +41,34 @@ def build_session(app: str = "municare", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+def size_shuffles(
+    spark: SparkSession, *paths: str, expansion: float = 4.0, target_bytes: int = 200 << 20
+) -> int:
+    """Set the number of shuffle partitions from the size of the inputs, so that one partition
+    fits in an executor. ``expansion`` allows for columnar compression. AQE joins partitions
+    that turn out small; it cannot cut an aggregate's partition that is too large."""
+    total = sum(storage.size(spark, p) for p in paths)
+    wanted = math.ceil(total * expansion / target_bytes)
+    partitions = max(wanted, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir`` that every executor can reach.
 
     Only a local session may fall back to a temporary folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    root = _checkpoint_root(spark)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="municare-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _checkpoint_root(spark: SparkSession) -> str | None:
+    name = "spark.checkpoint.dir"
+    context = spark.sparkContext
+    return spark.conf.get(name, None) or context.getConf().get(name) or context.getCheckpointDir()

@@ -96,34 +96,44 @@ def upsert(
     keys: Sequence[str],
     newest_first: Sequence[str] = ("_loaded_at", "_source_file"),
     slots: int = SLOTS,
+    within: str | None = None,
 ) -> None:
     """Upsert by natural key: the batch wins over the table, its newest version of a key wins
     within the batch, NULL keys are refused.
 
-    Rows live in slots by key hash; only the slots the batch touches are read and rewritten,
-    in one pass. Dynamic overwrite keeps the files being read until the job commits, so a
-    lost executor or a failed job leaves the table as it was. When the batch's keys pass the
-    broadcast check the stored rows are not shuffled at all.
+    The table is split by ``within``, a period that is part of the key, or by key hash into
+    ``slots``; only the parts the batch touches are read and rewritten, in one pass. Dynamic
+    overwrite keeps the files being read until the job commits, so a lost executor or a
+    failed job leaves the table as it was. When the batch's keys pass the broadcast check
+    the stored rows are not shuffled at all.
     """
     spark = batch.sparkSession
     order = [c for c in newest_first if c in batch.columns]
     unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     checked = refuse(batch, unkeyed, f"NULL in key {list(keys)}")
-    slot = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(slots)).cast("int")
-    latest = latest_per_key(checked.withColumn(SLOT, slot), keys, order)
-    touched = {r[0]: r[1] for r in latest.groupBy(SLOT).count().collect()}  # one row per slot
+    part = within or SLOT
+    if within is None:
+        hashed = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(slots)).cast("int")
+        checked = checked.withColumn(SLOT, hashed)
+    latest = latest_per_key(checked, keys, order)
+    touched = {r[0]: r[1] for r in latest.groupBy(part).count().collect()}  # slots or periods
     if not touched:
         return
-    stored = read_table(spark, path, latest.schema).filter(F.col(SLOT).isin(list(touched)))
+    stored = read_table(spark, path, latest.schema).filter(F.col(part).isin(list(touched)))
     few = sum(touched.values()) <= MAX_BROADCAST_ROWS
     replaced = F.broadcast(latest.select(*keys)) if few else latest.select(*keys)
     kept = stored.join(replaced, list(keys), "left_anti").select(*latest.columns)
-    fresh = latest.hint("rebalance", SLOT) if few else latest
-    _write(kept.unionByName(fresh), path, [SLOT], gather=not few)
+    fresh = latest.hint("rebalance", part) if few else latest
+    _write(kept.unionByName(fresh), path, [part], gather=not few)
 
 
-def read_upserted(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return read_table(spark, path, T.StructType([*schema.fields, T.StructField(SLOT, T.IntegerType())])).drop(SLOT)
+def read_upserted(
+    spark: SparkSession, path: str, schema: T.StructType, within: str | None = None
+) -> DataFrame:
+    if within is not None:
+        return read_table(spark, path, schema)
+    slotted = T.StructType([*schema.fields, T.StructField(SLOT, T.IntegerType())])
+    return read_table(spark, path, slotted).drop(SLOT)
 
 
 def publish(rows: DataFrame, path: str) -> DataFrame:

@@ -34,3 +34,9 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
     goal, _ = _handle(spark, target)
     if not fs.rename(origin, goal):
         raise OSError(f"could not move {source} to {target}")
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path."""
+    location, fs = _handle(spark, path)
+    return fs.getContentSummary(location).getLength() if fs.exists(location) else 0

@@ -114,6 +114,17 @@ def test_upsert_beyond_the_broadcast_check(spark, folder, monkeypatch):
     assert content(stored.groupBy("v").count()) == [("a", 30), ("b", 20)]
 
 
+def test_upsert_within_a_period_leaves_other_periods_alone(spark, folder):
+    first = rows(spark, (1, "a", "202501"), (2, "b", "202501"), (1, "a", "202502"))
+    upsert(first, folder, ["k", "m"], ["v"], within="m")
+    january = storage.names(spark, f"{folder}/m=202501")
+    upsert(rows(spark, (1, "new", "202502"), (3, "c", "202502")), folder, ["k", "m"], ["v"], within="m")
+    assert storage.names(spark, f"{folder}/m=202501") == january
+    assert content(read_upserted(spark, folder, first.schema, "m")) == [
+        (1, "a", "202501"), (1, "new", "202502"), (2, "b", "202501"), (3, "c", "202502"),
+    ]
+
+
 def test_upsert_refuses_null_keys(spark, folder):
     with pytest.raises(Exception, match="NULL in key"):
         upsert(rows(spark, (None, "a", "x")), folder, ["k"], ["m"])
