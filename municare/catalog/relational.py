@@ -133,8 +133,9 @@ where s_nationkey is not null group by 1, 2, 3, 4""",
 def grouped_production(spark: SparkSession, folder: str) -> DataFrame:
     """Production by place, month and code prefix; the prefix ST has no label.
 
-    Lines collapse to part, supplier and month in the map tasks, then to prefix, supplier and
-    month before the supplier is looked up, and the label comes last.
+    Lines collapse to supplier, month and prefix before the supplier is looked up, and the
+    label comes last. Parts beyond the broadcast check are joined by a shuffle of two plain
+    scans, where AQE splits a part that owns most lines.
     """
     lines = table(spark, folder, "lineitem").select(
         "l_partkey",

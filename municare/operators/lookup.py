@@ -8,17 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def bounded(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup for broadcast only once its size has been checked.
+def bounded(
+    table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Mark a lookup for broadcast only once its rows and its bytes have been counted.
 
     A larger table comes back unmarked: the join then shuffles both sides and AQE splits
-    the hot keys.
+    the hot keys. The rows are counted first, which for a stored table reads footers only.
     """
-    if table.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(table)
-    return table
+    if table.count() > max_rows:
+        return table
+    weight = F.sum(F.octet_length(F.to_json(F.struct(*table.columns))))
+    size = table.agg(weight).first()[0] or 0
+    return F.broadcast(table) if size <= max_bytes else table
 
 
 def left_lookup(

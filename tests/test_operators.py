@@ -43,6 +43,8 @@ def test_bounded_marks_only_small_tables(spark):
         rows = spark.range(10).toDF("r")
         small = rows.join(op.bounded(big, 100), F.expr("r = k"))
         large = rows.join(op.bounded(big, 99), F.expr("r = k"))
+        heavy = rows.join(op.bounded(big, 100, max_bytes=10), F.expr("r = k"))
+        assert "SortMergeJoin" in plan(heavy)
         assert "BroadcastHashJoin" in plan(small)
         assert "SortMergeJoin" in plan(large)
         assert small.count() == large.count() == 10
