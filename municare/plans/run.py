@@ -48,6 +48,25 @@ def build_marts(
     return space
 
 
+def open_marts(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> Workspace:
+    """A workspace over the stored marts; views are defined again on the raw tables."""
+    space = Workspace(spark, raw)
+    for name in build_order():
+        if MODELS[name].layer == "marts":
+            found = MODELS[name]
+            schema = found.build(*[space[r] for r in found.reads]).schema
+            space.put(name, read_table(spark, table_path(root, found.layer, name), schema))
+    return space
+
+
+def check_marts(space: Workspace, root: str) -> DataFrame:
+    """Run the declared checks, store their results, and stop on a failed check that is not
+    a mere warning."""
+    results = publish(run_checks(space), table_path(root, "quality", "dq_results"))
+    quality.enforce(results)
+    return results
+
+
 def run_checks(space: Workspace, checks: Sequence[quality.Check] = CHECKS) -> DataFrame:
     """Results of the declared checks over the tables of a workspace."""
     wanted = {c.model for c in checks} | {c.parent for c in checks if c.parent}

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from collections import Counter
 
 import pytest
@@ -143,6 +144,41 @@ def test_range_lookup_end_points_gaps_and_padding(spark):
     assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
 
 
+def test_range_lookup_against_brute_force(spark):
+    """Random ranges, some over several initials, some inverted, codes of any length."""
+    draw = random.Random(7)
+
+    def code():
+        return "".join(draw.choice("ABCDÉ019") for _ in range(draw.randint(1, 4)))
+
+    spans = [tuple(sorted((code(), code()))) for _ in range(60)] + [("Z", "A"), ("B", "B")]
+    codes = sorted({code() for _ in range(400)})
+    ranges = spark.createDataFrame([(i, lo, hi) for i, (lo, hi) in enumerate(spans)], "g int, lo string, hi string")
+    rows = spark.createDataFrame([(c,) for c in codes], "code string")
+    got = op.range_lookup(rows, "code", ranges, "lo", "hi", {"g": "g"}).collect()
+    expected = Counter()
+    for c in codes:
+        key = c.encode()
+        hits = [g for g, (lo, hi) in enumerate(spans) if lo.encode() <= key <= hi.encode()]
+        expected.update((c, g) for g in hits or [None])
+    assert Counter(map(tuple, got)) == expected
+
+
+def test_presence_status_against_brute_force(spark):
+    draw = random.Random(11)
+    data = sorted({("k%d" % (draw.randint(0, 40) ** 2 % 23), draw.randint(1, 12)) for _ in range(200)})
+    rows = spark.createDataFrame(data, "k string, p int")
+    newest = max(p for _, p in data)
+    expected = {}
+    for k, p in data:
+        mine = [q for j, q in data if j == k]
+        status = "historico" if p < max(mine) else "ativo" if max(mine) == newest else "possivelmente_encerrado"
+        expected[k, p] = (min(mine), max(mine), status)
+    got = op.presence_status(rows, "k", "p", "first", "last", "status").collect()
+    assert len(got) == len(data)
+    assert {(r.k, r.p): (r.first, r.last, r.status) for r in got} == expected
+
+
 def test_range_lookup_overlap_gives_one_row_each(spark):
     ranges = spark.createDataFrame([(1, "A", "C"), (2, "B", "D")], "g int, lo string, hi string")
     rows = spark.createDataFrame([("B5",)], "code string")
