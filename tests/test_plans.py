@@ -42,3 +42,19 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = plan(entry.queries()["mart_icsap_municipio"](spark, FOLDER))
     scan = [line for line in text.splitlines() if "FileScan parquet" in line and "o_orderkey" in line][0]
     assert "o_totalprice" not in scan and "o_orderstatus" not in scan
+
+
+def test_refresh_prunes_partitions_and_takes_the_newest_load_from_two_columns(spark, space, folder):
+    from pyspark.sql import functions as F
+
+    from municare.sinks import read_table
+
+    raw = space["raw_sia.producao_ambulatorial"].filter("competencia_arquivo like '1997%'")
+    raw.write.partitionBy("competencia_arquivo").parquet(folder)
+    stored = read_table(spark, folder, raw.schema)
+    staged = Workspace(spark, {"raw_sia.producao_ambulatorial": stored})["stg_sia__producao_ambulatorial"]
+    one = plan(staged.filter(F.col("competencia_arquivo").isin("199703")))
+    assert "PartitionFilters: [(competencia_arquivo" in one or "PartitionFilters: [isnotnull(competencia_arquivo" in one
+    newest = plan(staged.groupBy("competencia_arquivo").agg(F.max("_loaded_at")))
+    scan = [line for line in newest.splitlines() if "FileScan parquet" in line][0]
+    assert "FileScan parquet [_loaded_at" in scan and "valor_produzido" not in scan
