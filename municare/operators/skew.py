@@ -2,10 +2,13 @@
 
 AQE splits a hot partition of a join only where both sides come straight from a shuffle; it
 leaves alone a side that is an aggregate or a window on the same key. These joins spread the
-hot keys themselves. A key is hot when it owns more than 1/``hot_limit`` of all rows, so
-fewer than ``hot_limit`` keys can be hot and their list may be broadcast. Rows of a hot key
-are dealt to ``spread`` slots and its rows on the other side are repeated once per slot; every
-other key keeps slot 0.
+hot keys themselves.
+
+A fair share is the number of rows divided by ``shares``, by default the shuffle partitions.
+A key with more than a fair share is hot, so fewer than ``shares`` keys can be hot and their
+list may be broadcast. Rows of a hot key are dealt to as many slots as it has fair shares,
+and its rows on the other side are repeated once per slot, which adds fewer than twice
+``shares`` rows there when that side holds each key once. Every other key keeps slot 0.
 """
 
 from __future__ import annotations
@@ -15,37 +18,37 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEY_LIMIT = 1_000
-SPREAD = 64
+MIN_SHARES = 1_000
 SLOT = "__slot"
+SLOTS = "__slots"
 
 
-def _hot(counts: DataFrame, keys: Sequence[str], weight: str, hot_limit: int) -> DataFrame:
-    threshold = counts.agg(F.sum(weight) / F.lit(hot_limit)).scalar()
+def _hot(counts: DataFrame, keys: Sequence[str], weight: str, shares: int | None) -> DataFrame:
+    if shares is None:
+        conf = counts.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        shares = max(MIN_SHARES, int(conf))
+    fair = counts.agg(F.sum(weight) / F.lit(shares)).scalar()
     names = [F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)]
-    return F.broadcast(
-        counts.filter(F.col(weight) > threshold).select(*names, F.lit(True).alias("__is_hot"))
-    )
+    slots = F.ceil(F.col(weight) / fair).cast("int").alias(SLOTS)
+    return F.broadcast(counts.filter(F.col(weight) > fair).select(*names, slots))
 
 
 def _slotted(side: DataFrame, keys: Sequence[str], hot: DataFrame, slot: Column) -> DataFrame:
     names = [f"__hot_{i}" for i in range(len(keys))]
     # <=> so that NULL can be a hot key too.
     condition = [side[k].eqNullSafe(hot[n]) for k, n in zip(keys, names)]
-    marked = side.join(hot, condition, "left").withColumn(SLOT, slot)
-    return marked.drop("__is_hot", *names)
+    return side.join(hot, condition, "left").withColumn(SLOT, slot).drop(SLOTS, *names)
 
 
-def _deal(columns: Sequence[str], spread: int) -> Column:
+def _deal(columns: Sequence[str]) -> Column:
     """A slot that stays the same when a task is retried; the partition id in it spreads
     identical copies too."""
-    dealt = F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.lit(spread)).cast("int")
-    return F.when(F.col("__is_hot"), dealt).otherwise(F.lit(0))
+    dealt = F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.col(SLOTS)).cast("int")
+    return F.when(F.col(SLOTS).isNotNull(), dealt).otherwise(F.lit(0))
 
 
-def _repeat(spread: int) -> Column:
-    last = F.when(F.col("__is_hot"), F.lit(spread - 1)).otherwise(F.lit(0))
-    return F.explode(F.sequence(F.lit(0), last))
+def _repeat() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.coalesce(SLOTS, F.lit(1)) - 1))
 
 
 def join_facts_back(
@@ -53,16 +56,15 @@ def join_facts_back(
     facts: DataFrame,
     keys: Sequence[str],
     weight: str,
-    hot_limit: int = HOT_KEY_LIMIT,
-    spread: int = SPREAD,
+    shares: int | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` with facts aggregated from them, one row per key. ``weight`` is
     the number of rows behind a key. NULL is a key like any other, as in a window."""
     keys = list(keys)
     names = {k: f"__fact_{i}" for i, k in enumerate(keys)}
-    hot = _hot(facts, keys, weight, hot_limit)
-    left = _slotted(rows, keys, hot, _deal(rows.columns, spread))
-    right = _slotted(facts, keys, hot, _repeat(spread)).drop(weight)
+    hot = _hot(facts, keys, weight, shares)
+    left = _slotted(rows, keys, hot, _deal(rows.columns))
+    right = _slotted(facts, keys, hot, _repeat()).drop(weight)
     right = right.withColumnsRenamed({**names, SLOT: "__fact_slot"})
     condition = [left[k].eqNullSafe(right[n]) for k, n in names.items()]
     condition.append(left[SLOT] == right["__fact_slot"])
@@ -74,21 +76,20 @@ def spread_lookup(
     table: DataFrame,
     on: Mapping[str, str],
     take: Mapping[str, str],
-    hot_limit: int = HOT_KEY_LIMIT,
-    spread: int = SPREAD,
+    shares: int | None = None,
 ) -> DataFrame:
     """Left join like ``left_lookup`` for a table too large to broadcast: hot and missing keys
     of the rows are spread over many reducers."""
     keys = list(on)
     names = {key: f"__key_{i}" for i, key in enumerate(on.values())}
     counts = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
-    hot = _hot(counts, keys, "__n", hot_limit)
-    left = _slotted(rows, keys, hot, _deal(rows.columns, spread))
+    hot = _hot(counts, keys, "__n", shares)
+    left = _slotted(rows, keys, hot, _deal(rows.columns))
     side = table.select(
         *[F.col(k).alias(n) for k, n in names.items()],
         *[F.col(c).alias(name) for c, name in take.items()],
     )
-    right = _slotted(side, list(names.values()), hot, _repeat(spread))
+    right = _slotted(side, list(names.values()), hot, _repeat())
     right = right.withColumnRenamed(SLOT, "__table_slot")
     condition = [left[c] == right[names[k]] for c, k in on.items()]
     condition.append(left[SLOT] == right["__table_slot"])

@@ -58,3 +58,18 @@ def test_refresh_prunes_partitions_and_takes_the_newest_load_from_two_columns(sp
     newest = plan(staged.groupBy("competencia_arquivo").agg(F.max("_loaded_at")))
     scan = [line for line in newest.splitlines() if "FileScan parquet" in line][0]
     assert "FileScan parquet [_loaded_at" in scan and "valor_produzido" not in scan
+
+
+def test_group_mart_over_the_stored_fact_reads_what_it_sums(spark, space, folder):
+    from municare.plans import MODELS
+    from municare.sinks import read_table
+
+    fact = space["fct_producao_ambulatorial"]
+    fact.write.partitionBy("competencia_arquivo").parquet(folder)
+    mart = MODELS["mart_producao_grupo_municipio"]
+    text = plan(mart.build(read_table(spark, folder, fact.schema), space["seed_sigtap_grupo"]))
+    scan = [line for line in text.splitlines() if "FileScan parquet" in line][0]
+    assert "PushedFilters: [IsNotNull(id_municipio_estabelecimento)" in scan
+    for unused in ("codigo_cbo", "idade_paciente", "origem_documento", "_loaded_at"):
+        assert unused not in scan
+    assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text
