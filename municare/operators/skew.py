@@ -5,10 +5,8 @@ leaves alone a side that is an aggregate or a window on the same key. These join
 hot keys themselves.
 
 A fair share is the number of rows divided by ``shares``, by default the shuffle partitions.
-A key with more than a fair share is hot, so fewer than ``shares`` keys can be hot and their
-list may be broadcast. Rows of a hot key are dealt to as many slots as it has fair shares,
-and its rows on the other side are repeated once per slot, which adds fewer than twice
-``shares`` rows there when that side holds each key once. Every other key keeps slot 0.
+A key with more than a fair share is hot, so fewer than ``shares`` keys can be hot and what
+belongs to them, one row per key, may be broadcast.
 """
 
 from __future__ import annotations
@@ -19,36 +17,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_SHARES = 1_000
+MANY = 1 << 20
 SLOT = "__slot"
 SLOTS = "__slots"
 
 
-def _hot(counts: DataFrame, keys: Sequence[str], weight: str, shares: int | None) -> DataFrame:
+def _fair_share(rows: DataFrame, shares: int | None) -> Column:
+    """Rows per share. Counting the rows of a stored table reads footers only."""
     if shares is None:
-        conf = counts.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        conf = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
         shares = max(MIN_SHARES, int(conf))
-    fair = counts.agg(F.sum(weight) / F.lit(shares)).scalar()
-    names = [F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)]
-    slots = F.ceil(F.col(weight) / fair).cast("int").alias(SLOTS)
-    return F.broadcast(counts.filter(F.col(weight) > fair).select(*names, slots))
+    return rows.agg(F.count(F.lit(1)) / F.lit(shares)).scalar()
 
 
-def _slotted(side: DataFrame, keys: Sequence[str], hot: DataFrame, slot: Column) -> DataFrame:
-    names = [f"__hot_{i}" for i in range(len(keys))]
-    # <=> so that NULL can be a hot key too.
-    condition = [side[k].eqNullSafe(hot[n]) for k, n in zip(keys, names)]
-    return side.join(hot, condition, "left").withColumn(SLOT, slot).drop(SLOTS, *names)
-
-
-def _deal(columns: Sequence[str]) -> Column:
+def _deal(columns: Sequence[str], slots: Column) -> Column:
     """A slot that stays the same when a task is retried; the partition id in it spreads
     identical copies too."""
-    dealt = F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.col(SLOTS)).cast("int")
-    return F.when(F.col(SLOTS).isNotNull(), dealt).otherwise(F.lit(0))
-
-
-def _repeat() -> Column:
-    return F.explode(F.sequence(F.lit(0), F.coalesce(SLOTS, F.lit(1)) - 1))
+    return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), slots).cast("int")
 
 
 def join_facts_back(
@@ -58,17 +43,46 @@ def join_facts_back(
     weight: str,
     shares: int | None = None,
 ) -> DataFrame:
-    """Inner join of ``rows`` with facts aggregated from them, one row per key. ``weight`` is
-    the number of rows behind a key. NULL is a key like any other, as in a window."""
+    """Join ``rows`` with facts aggregated from them, one row per key. ``weight`` is the
+    number of rows behind a key. NULL is a key like any other, as in a window.
+
+    Facts of hot keys reach their rows by broadcast. The rows of hot keys then carry a slot
+    that matches no fact and scatters them over the reducers of the join that serves the
+    other keys. Both fact sides read the same aggregate, which Spark computes once.
+    """
     keys = list(keys)
-    names = {k: f"__fact_{i}" for i, k in enumerate(keys)}
-    hot = _hot(facts, keys, weight, shares)
-    left = _slotted(rows, keys, hot, _deal(rows.columns))
-    right = _slotted(facts, keys, hot, _repeat()).drop(weight)
-    right = right.withColumnsRenamed({**names, SLOT: "__fact_slot"})
-    condition = [left[k].eqNullSafe(right[n]) for k, n in names.items()]
-    condition.append(left[SLOT] == right["__fact_slot"])
-    return left.join(right, condition, "inner").drop(SLOT, "__fact_slot", *names.values())
+    measures = [c for c in facts.columns if c not in (*keys, weight)]
+    is_hot = F.col(weight) > _fair_share(rows, shares)
+
+    def side(chosen: Column, tag: str, *extra: Column) -> DataFrame:
+        return facts.filter(chosen).select(
+            *[F.col(k).alias(f"__{tag}_key_{i}") for i, k in enumerate(keys)],
+            *[F.col(m).alias(f"__{tag}_{m}") for m in measures],
+            *extra,
+        )
+
+    hot = F.broadcast(side(is_hot, "hot", F.lit(True).alias("__is_hot")))
+    # Always 0, but not a literal: as one it would stop being a join key.
+    cold = side(~is_hot, "cold", is_hot.cast("int").alias("__cold_slot"))
+    same = [rows[k].eqNullSafe(hot[f"__hot_key_{i}"]) for i, k in enumerate(keys)]
+    scattered = F.lit(1) + _deal(rows.columns, F.lit(MANY))
+    left = rows.join(hot, same, "left").withColumn(
+        SLOT, F.when(F.col("__is_hot"), scattered).otherwise(F.lit(0))
+    )
+    same = [left[k].eqNullSafe(cold[f"__cold_key_{i}"]) for i, k in enumerate(keys)]
+    joined = left.join(cold, [*same, left[SLOT] == cold["__cold_slot"]], "left")
+    found = [
+        F.when(F.col("__is_hot"), F.col(f"__hot_{m}")).otherwise(F.col(f"__cold_{m}")).alias(m)
+        for m in measures
+    ]
+    return joined.select(*[left[c] for c in rows.columns], *found)
+
+
+def _slotted(side: DataFrame, keys: Sequence[str], hot: DataFrame, slot: Column) -> DataFrame:
+    names = [f"__hot_{i}" for i in range(len(keys))]
+    # <=> so that NULL can be a hot key too.
+    condition = [side[k].eqNullSafe(hot[n]) for k, n in zip(keys, names)]
+    return side.join(hot, condition, "left").withColumn(SLOT, slot).drop(SLOTS, *names)
 
 
 def spread_lookup(
@@ -78,18 +92,30 @@ def spread_lookup(
     take: Mapping[str, str],
     shares: int | None = None,
 ) -> DataFrame:
-    """Left join like ``left_lookup`` for a table too large to broadcast: hot and missing keys
-    of the rows are spread over many reducers."""
+    """Left join like ``left_lookup`` for a table too large to broadcast.
+
+    Rows of a hot key, NULL included, are dealt to as many slots as the key has fair shares,
+    and the key's rows in the table are repeated once per slot: fewer than twice ``shares``
+    rows more where the table holds each key once.
+    """
     keys = list(on)
     names = {key: f"__key_{i}" for i, key in enumerate(on.values())}
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
-    hot = _hot(counts, keys, "__n", shares)
-    left = _slotted(rows, keys, hot, _deal(rows.columns))
+    fair = _fair_share(rows, shares)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = F.broadcast(
+        counts.filter(F.col("__n") > fair).select(
+            *[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)],
+            F.ceil(F.col("__n") / fair).cast("int").alias(SLOTS),
+        )
+    )
+    dealt = F.when(F.col(SLOTS).isNotNull(), _deal(rows.columns, F.col(SLOTS)))
+    repeated = F.explode(F.sequence(F.lit(0), F.coalesce(SLOTS, F.lit(1)) - 1))
+    left = _slotted(rows, keys, hot, dealt.otherwise(F.lit(0)))
     side = table.select(
         *[F.col(k).alias(n) for k, n in names.items()],
         *[F.col(c).alias(name) for c, name in take.items()],
     )
-    right = _slotted(side, list(names.values()), hot, _repeat())
+    right = _slotted(side, list(names.values()), hot, repeated)
     right = right.withColumnRenamed(SLOT, "__table_slot")
     condition = [left[c] == right[names[k]] for c, k in on.items()]
     condition.append(left[SLOT] == right["__table_slot"])

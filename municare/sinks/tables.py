@@ -83,11 +83,14 @@ def replace_partitions(
 
 
 def _folder(partition: Mapping[str, object]) -> str:
-    """Folder of a partition, special characters written as Spark writes them."""
-    return "/".join(
-        f"{c}=" + re.sub(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda m: f"%{ord(m[0]):02X}", str(v))
-        for c, v in partition.items()
-    )
+    """Folder of a partition, special characters and missing values as Spark writes them."""
+
+    def name(value: object) -> str:
+        if value is None or value == "":
+            return "__HIVE_DEFAULT_PARTITION__"
+        return re.sub(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda m: f"%{ord(m[0]):02X}", str(value))
+
+    return "/".join(f"{column}={name(value)}" for column, value in partition.items())
 
 
 def upsert(

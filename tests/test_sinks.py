@@ -70,10 +70,12 @@ def test_late_rows_stay_in_their_arrival_partition(spark, folder):
 
 def test_two_column_partitions_and_escaped_values(spark, folder):
     shape = "v int, y int, place string"
-    first = rows(spark, (1, 2024, "a/b"), (2, 2024, "c"), (3, 2023, "a/b"), shape=shape)
-    named = [{"y": 2024, "place": "a/b"}, {"y": 2024, "place": "c"}, {"y": 2023, "place": "a/b"}]
+    first = rows(spark, (1, 2024, "a/b"), (2, 2024, "c"), (3, 2023, "a/b"), (4, 2024, None), shape=shape)
+    named = [{"y": y, "place": p} for y, p in ((2024, "a/b"), (2024, "c"), (2023, "a/b"), (2024, None))]
     replace_partitions(first, folder, named)
-    replace_partitions(first.limit(0), folder, [{"y": 2024, "place": "a/b"}])
+    assert read_table(spark, folder, first.schema).count() == 4
+    for place in ("a/b", None):
+        replace_partitions(first.limit(0), folder, [{"y": 2024, "place": place}])
     assert content(read_table(spark, folder, first.schema)) == [(2, 2024, "c"), (3, 2023, "a/b")]
 
 
