@@ -6,11 +6,15 @@ takes on the shingles shifted circularly by k, so two permutations serve for eve
 Documents that agree on all coordinates of a band are candidates; each candidate pair that
 decides about a component is confirmed on the full shingle sets.
 
-Work before pairs: documents with equal sets become one class (hashed map-side), so a group of
-exact copies is one node. In a bucket every class is first compared with one hub, the class
-that shares most buckets; pairs inside one component need no comparison any more, and the
-pairs of classes of a bucket that still lie in different components are all compared then.
-No pair that could change a component is left out.
+Links are only needed as far as they join components, and no pair that could join two is left
+out. Documents with equal sets become one class, so a group of exact copies is one node. All
+classes that share a bucket are compared with its hub, the class that shares most buckets, and
+most of a large group of near copies is then one component. What is left are pairs of classes
+of one hub that are still apart. In groups of at most FEW classes they are compared. In larger
+ones the shingles shared with the hub bound what two classes can share: a pair can only be
+similar enough if the bound says so and it either holds without shingles foreign to the hub,
+or both hold such a shingle; these pairs are found by joining on the foreign shingles, where
+large groups get a hub of their own first.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from municare.llm.common import is_empty, map_texts, stored
@@ -29,6 +33,7 @@ from municare.llm.shingles import Shingler
 BANDS = 32
 ROWS = 4
 PERCENT = 75
+FEW = 16  # classes of a group whose pairs are listed without further search
 _BLOCK = 1024
 
 
@@ -89,21 +94,64 @@ def _sets(texts) -> dict[str, pa.Array]:
     }
 
 
-def _confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of a stored table whose full sets are similar enough."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _full_sets(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(__id, __set) of the classes in ``nodes``, made from whole texts."""
     wanted = stored(classes.select("node", F.col("__key").alias("key")).join(nodes, "node"), "wanted")
     texts = documents.join(wanted, F.col("__id") == F.col("node"), "left_semi")
     sets = map_texts(texts, ["__id"], "__text", _sets, "__set array<bigint>, __key binary")
     # An id may repeat, with the same text or with others; one set of the class is enough.
     sets = sets.join(wanted, (F.col("__id") == F.col("node")) & (F.col("__key") == F.col("key")), "left_semi")
-    sets = stored(sets.dropDuplicates(["__id"]).select("__id", "__set"), "sets")
+    return stored(sets.dropDuplicates(["__id"]).select("__id", "__set"), "sets")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, a_size, b_size) of a stored table with ``shared``, stored."""
     left = sets.select(F.col("__id").alias("a"), F.col("__set").alias("__left"))
     right = sets.select(F.col("__id").alias("b"), F.col("__set").alias("__right"))
     joined = pairs.join(right, "b").join(left, "a")
-    joined = joined.withColumn("__shared", F.size(F.array_intersect("__left", "__right")))
-    union = F.size("__left") + F.size("__right") - F.col("__shared")
-    return joined.filter(F.lit(100) * F.col("__shared") >= F.lit(percent) * union).select("a", "b")
+    joined = joined.withColumn("shared", F.size(F.array_intersect("__left", "__right")).cast("long"))
+    return stored(joined.drop("__left", "__right"), "compared")
+
+
+def _similar(shared: Column, a_size: Column, b_size: Column, percent: int) -> Column:
+    return F.lit(100) * shared >= F.lit(percent) * (a_size + b_size - shared)
+
+
+def _side(groups: DataFrame, key: list[str], name: str) -> DataFrame:
+    columns = ["node", "size", "component", "with_hub"]
+    return groups.select(*key, *[F.col(c).alias(f"{name}_{c}") for c in columns])
+
+
+def _listed(groups: DataFrame, key: list[str], percent: int, first: Column | None = None, foreign: bool = True) -> DataFrame:
+    """Distinct pairs (a, b, a_size, b_size) of a group that lie in different components and may be
+    similar. They share at most the lower of their parts within the hub and, if ``foreign``
+    shingles may agree, the lower of their parts outside it. ``first`` restricts one side."""
+    x = _side(groups.filter(first) if first is not None else groups, key, "x")
+    pairs = x.join(_side(groups, key, "y"), key).filter("x_component != y_component and x_node != y_node")
+    col = F.col
+    most = F.least("x_with_hub", "y_with_hub")
+    if foreign:
+        most = most + F.least(col("x_size") - col("x_with_hub"), col("y_size") - col("y_with_hub"))
+    most = F.least(F.coalesce(most, col("x_size")), "x_size", "y_size")
+    pairs = pairs.filter(_similar(most, col("x_size"), col("y_size"), percent))
+    swap = col("x_node") > col("y_node")
+    ordered = [
+        F.when(swap, col(f"y_{c}")).otherwise(col(f"x_{c}")).alias(f"a{n}") for c, n in (("node", ""), ("size", "_size"))
+    ] + [F.when(swap, col(f"x_{c}")).otherwise(col(f"y_{c}")).alias(f"b{n}") for c, n in (("node", ""), ("size", "_size"))]
+    return pairs.select(*ordered).distinct()
+
+
+def _still_apart(groups: DataFrame, key: list[str], found: DataFrame) -> DataFrame:
+    """Groups with members in several components, with the component and number of members."""
+    labels = found.select(F.col("node").alias("__node"), F.col("component").alias("__component"))
+    groups = groups.drop("component", "n").join(labels, F.col("node") == F.col("__node"), "left")
+    groups = groups.withColumn("component", F.coalesce("__component", "node")).drop("__node", "__component")
+    groups = stored(groups, "labelled")
+    open_groups = groups.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    open_groups = stored(open_groups.filter("low != high").drop("low", "high"), "open")
+    return stored(groups.join(open_groups, key), "apart")
 
 
 def near_duplicates(
@@ -139,35 +187,7 @@ def near_duplicates(
     # A class joins its bands once per repeated id only; buckets of one class end here.
     buckets = stored(members.join(stored(shared, "shared"), "band"), "buckets")
 
-    weight = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
-    ranked = buckets.join(stored(weight, "weight"), "node")
-    hubs = ranked.groupBy("band").agg(
-        F.max(F.struct("weight", -F.col("node"), "node", "size")).alias("hub")
-    )
-    hubs = stored(hubs.select(F.col("band").alias("hub_band"), F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size")), "hubs")
-    like = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
-    first = buckets.join(hubs, F.col("band") == F.col("hub_band"))
-    first = first.filter(F.col("node") != F.col("hub")).filter(like("size", "hub_size"))
-    first = first.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-    first = stored(first.distinct(), "first")
-    links = stored(_confirmed(first, slim, classes, percent), "confirmed")
-    found = components(links)
-
-    # Pairs of one bucket that are still apart, each once over all bands.
-    apart = buckets.join(found, "node", "left")
-    apart = apart.select("band", "node", "size", F.coalesce("component", "node").alias("component"))
-    apart = stored(apart, "apart")
-    open_bands = apart.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_bands = stored(open_bands.filter("low != high").select("band"), "open")
-    apart = stored(apart.join(open_bands, "band"), "apart")
-    x = apart.select("band", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("component").alias("a_component"))
-    y = apart.select("band", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("b_component"))
-    rest = x.join(y, "band").filter("a < b and a_component != b_component").filter(like("a_size", "b_size"))
-    rest = rest.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    rest = stored(rest, "rest")
-    if not is_empty(rest):
-        links = links.union(stored(_confirmed(rest, slim, classes, percent), "confirmed"))
-        found = components(links)
+    found = components(_links(buckets, slim, classes, percent))
 
     named = classes.select(F.col("__key").alias("__class"), "node").join(found, "node", "left")
     named = stored(named.select("__class", F.coalesce("component", "node").alias("__component")), "named")
@@ -179,3 +199,60 @@ def near_duplicates(
         component.alias("component_id"),
         F.col("__id").eqNullSafe(component).alias("kept"),
     )
+
+
+def _links(buckets: DataFrame, documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that give the components of all similar pairs in ``buckets``."""
+    sets = _full_sets(documents, classes, buckets.select("node").distinct())
+    weight = stored(buckets.groupBy("node").agg(F.sum("n").alias("weight")), "weight")
+    ranked = stored(buckets.drop("n").join(weight, "node"), "ranked")
+    best = F.max(F.struct("weight", -F.col("node"), "node", "size")).alias("best")
+    named = [F.col("best.node").alias("hub"), F.col("best.size").alias("hub_size")]
+    hubs = stored(ranked.groupBy("band").agg(best).select("band", *named), "hubs")
+    groups = ranked.join(hubs, "band").filter("node != hub").select("hub", "hub_size", "node", "size", "weight")
+    groups = stored(groups.distinct(), "groups")
+
+    pairs = stored(_with_hub(groups), "pairs")
+    compared = _compared(pairs, sets)
+    links = _linked(compared, percent)
+    shared = compared.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("shared").alias("with_hub"))
+    groups = stored(groups.join(shared, ["hub", "node"]), "groups")
+    groups = _still_apart(groups, ["hub"], components(links))
+    rest = _listed(groups.filter(F.col("n") <= FEW), ["hub"], percent)
+    large = groups.filter(F.col("n") > FEW)
+    # Without foreign shingles in common the smaller of two classes has to be smaller than the
+    # hub, or one of the two would be similar to the hub whenever the pair is.
+    rest = rest.union(_listed(large, ["hub"], percent, F.col("size") < F.col("hub_size"), foreign=False))
+
+    foreign = large.join(sets.select(F.col("__id").alias("node"), F.col("__set").alias("own")), "node")
+    foreign = foreign.join(sets.select(F.col("__id").alias("hub"), F.col("__set").alias("hubs")), "hub")
+    foreign = foreign.withColumn("shingle", F.explode(F.array_except("own", "hubs"))).drop("own", "hubs", "n")
+    foreign = stored(foreign, "foreign")
+    key = ["hub", "shingle"]
+    many = foreign.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    many = stored(many.filter("n > 1 and low != high").drop("low", "high"), "many")
+    foreign = stored(foreign.join(many, key), "foreign")
+    rest = rest.union(_listed(foreign.filter(F.col("n") <= FEW), key, percent))
+
+    large = foreign.filter(F.col("n") > FEW)
+    hubs = stored(large.groupBy(*key).agg(best).select(*key, F.col("best.node").alias("top"), F.col("best.size").alias("top_size")), "hubs")
+    tops = large.join(hubs, key).filter("node != top")
+    tops = tops.select(F.col("top").alias("hub"), F.col("top_size").alias("hub_size"), "node", "size").distinct()
+    rest = stored(rest.union(_with_hub(tops)).distinct(), "rest")
+    if is_empty(rest):
+        return links
+    links = links.union(_linked(_compared(rest, sets), percent))
+    last = _still_apart(large, key, components(links))
+    last = _listed(last, key, percent).join(rest, ["a", "b", "a_size", "b_size"], "left_anti")
+    last = stored(last, "last")
+    if is_empty(last):
+        return links
+    return links.union(_linked(_compared(last, sets), percent))
+
+
+def _with_hub(groups: DataFrame) -> DataFrame:
+    return groups.select(F.col("hub").alias("a"), F.col("node").alias("b"), F.col("hub_size").alias("a_size"), F.col("size").alias("b_size"))
+
+
+def _linked(compared: DataFrame, percent: int) -> DataFrame:
+    return compared.filter(_similar(F.col("shared"), F.col("a_size"), F.col("b_size"), percent)).select("a", "b")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from municare.llm import bpe, lines, minhash, mixing, trees
+from municare.llm import bpe, chat, embed, ftrl, hosts, licenses, lines, minhash, mixing, trees
 from municare.llm.common import table
 from municare.llm.registry import query
 
@@ -55,18 +55,104 @@ select d.doc_id, coalesce(n_lines, 0) n_lines, coalesce(n_deleted, 0) n_deleted,
 from documents d left join done using (doc_id)"""
 
 
+# Every prefix of every conversation as a list; those that end no longer one stay.
+_CHATS = f"""
+with turns as (select distinct conv_id, turn, role, text from conversations),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) place
+  from turns),
+prefixes as (
+  select conv_id, place, count(*) over (partition by conv_id) n_turns,
+         list(struct_pack(role, text)) over (partition by conv_id order by place) prefix from placed),
+whole as (select prefix, n_turns, min(conv_id) conv_id from prefixes where place = n_turns group by all),
+kept as (
+  select * from whole where prefix not in (select prefix from prefixes where place < n_turns))
+select k.conv_id, cast((place - 1) // {chat.PART_TURNS} as int) part, n_turns,
+       string_agg('{chat.OPEN}' || coalesce(role, '') || chr(10) || coalesce(text, '') || '{chat.CLOSE}' || chr(10), ''
+                  order by place) as rendered
+from kept k join placed p on k.conv_id is not distinct from p.conv_id
+group by all"""
+
+
+@query("op1_chat_format", _CHATS)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_chats(table(spark, folder, "conversations"))
+
+
+@query("op2_embedding_near_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return embed.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query("op3_line_dedup", _RUNS)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return lines.line_dedup(documents)
 
 
+_PRIOR = """
+  select {group}, n, bad, prior,
+         case when spread > 0 then greatest({low}, least({high}, 1 / spread - 1)) else {high} end strength
+  from (select *, (sum(case when n > 0 then n * (bad / n - prior) ** 2 end) over ()
+                   - sum(case when n > 0 then prior * (1 - prior) end) over ())
+                / nullif(sum(case when n > 0 then prior * (1 - prior) end) over ()
+                         * (sum(n) over () - count(case when n > 0 then 1 end) over ())
+                         / nullif(count(case when n > 0 then 1 end) over (), 0), 0) spread
+        from ({rows}))"""
+_MEAN = "(bad + prior * strength) / (n + strength)"
+_level = lambda group, rows: _PRIOR.format(
+    group=group, rows=rows, low=hosts.LEAST_STRENGTH, high=hosts.MOST_STRENGTH
+)
+_longest = " ".join(
+    f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{{{i}}}'"
+    for i, (_, h, p) in sorted(enumerate(hosts.RULES), key=lambda r: -len(r[1][1] + r[1][2]))
+)
+_HOSTS = f"""
+with cut as (
+  select page_id, coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '{hosts.UPPER}', '{hosts.LOWER}'), '') host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') path from pages),
+outcomes as (select doc_id, max(1 - quality) bad from labels where quality is not null group by doc_id),
+by_host as (
+  select host, regexp_extract(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '([^.]*[.])?[^.]*$', 0) domain,
+         count(bad) n, coalesce(sum(bad), 0) bad from cut left join outcomes on doc_id = page_id group by all),
+by_domain as (
+  select domain, regexp_extract(domain, '[^.]*$', 0) suffix, sum(n) n, sum(bad) bad from by_host group by all),
+suffixes as (
+  {_level("suffix", "select suffix, sum(n) n, sum(bad) bad, sum(sum(bad)) over () / nullif(sum(sum(n)) over (), 0) prior from by_domain group by suffix")}),
+domains as (
+  {_level("domain", f"select d.domain, d.n, d.bad, s.prior from by_domain d join (select suffix, {_MEAN} prior from suffixes) s using (suffix)")}),
+known as (
+  {_level("host", f"select h.host, h.n, h.bad, d.prior from by_host h join (select domain, {_MEAN} prior from domains) d using (domain)")}),
+bounds as (
+  select host, mean bad_rate, mean - {hosts.BOUND} * sqrt(mean * (1 - mean) / (n + strength + 1)) bad_low
+  from (select *, {_MEAN} mean from known))
+select page_id, host, path, case {_longest.format(*[h + p for _, h, p in hosts.RULES])} end as rule,
+       case {_longest.format(*[v for v, _, _ in hosts.RULES])}
+            when bad_low > {hosts.ALLOWED_RATE} then 'block' else 'allow' end as verdict,
+       bad_rate, bad_low
+from cut join bounds using (host)"""
+
+
+@query("op4_url_filter", _HOSTS)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    # The labels carry ids of the same range as the pages; a label of poor quality is the
+    # outcome of the page with its id.
+    labels = table(spark, folder, "labels")
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), (F.lit(1) - F.col("quality")).alias("bad"))
+    return hosts.judge_urls(table(spark, folder, "pages"), outcomes)
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     rows = trees.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return rows.select("doc_id", *trees.COUNTS, "base_failed", "kept")
 
 
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return ftrl.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op7_bpe")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), VOCABULARY, ["doc_id"])
@@ -79,6 +165,13 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", taken)
 
 
+@query("op9_license_scan")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    # The tables hold no paths: a document lies in the folder of its language in its source's.
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    return licenses.scan_licenses(table(spark, folder, "documents").withColumn("path", path))
+
+
 @query("op10_minhash")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
