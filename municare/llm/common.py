@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from municare.session import shared_folder
 
-# 64-bit constants are spelled as Python ints; numpy wraps their products.
-MASK64 = (1 << 64) - 1
+_ROWS_AT_ONCE = 512  # whole texts that a Python worker holds as objects
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +38,13 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are held as Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            yield batch.slice(at, _ROWS_AT_ONCE)
+
+
 def map_texts(
     rows: DataFrame,
     keep: list[str],
@@ -54,7 +60,7 @@ def map_texts(
     names = list(slim.columns[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = each(texts_of(batch.column(len(names))))
             columns = [batch.column(i) for i in range(len(names))] + list(made.values())
             yield pa.RecordBatch.from_arrays(columns, names=names + list(made))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from municare.llm.common import map_texts, stored, with_running_sum
+from municare.llm.common import map_texts, sliced, stored, texts_of, with_running_sum
 
 MIN_WORDS = 50
 PLACE = ("__id", "__text_key")
@@ -31,7 +31,7 @@ PLACE = ("__id", "__text_key")
 def worded_lines(text: bytes | None) -> list[tuple[int, bytes, int]]:
     """(line number, line, words) of the lines that hold a word; lines end at a line feed."""
     lines = enumerate(text.split(b"\n")) if text else ()
-    return [(i, line, len(line.split())) for i, line in lines if line and not line.isspace()]
+    return [(i, line, len(line.split())) for i, line in lines if _has_word(line)]
 
 
 def shortest_runs(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,16 +47,19 @@ def shortest_runs(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _line_rows(texts, least: int) -> dict[str, pa.Array]:
-    found = []
+    stops, numbers, digests, aheads, backs = [0], [], [], [], []
     for text in texts:
         lines = worded_lines(text)
         ahead, back = shortest_runs(np.array([w for _, _, w in lines], np.int64), least)
-        found.append([
-            {"n": n, "line": xxhash.xxh3_128_digest(line), "ahead": int(a), "back": int(b)}
-            for (n, line, _), a, b in zip(lines, ahead, back)
-        ])
-    kind = pa.list_(pa.struct([("n", pa.int32()), ("line", pa.binary()), ("ahead", pa.int32()), ("back", pa.int32())]))
-    return {"__lines": pa.array(found, kind)}
+        numbers += [n for n, _, _ in lines]
+        digests += [xxhash.xxh3_128_digest(line) for _, line, _ in lines]
+        aheads.append(ahead)
+        backs.append(back)
+        stops.append(len(numbers))
+    whole = lambda parts: pa.array(np.concatenate([*parts, np.empty(0, np.int64)]), pa.int32())
+    columns = [pa.array(numbers, pa.int32()), pa.array(digests, pa.binary()), whole(aheads), whole(backs)]
+    flat = pa.StructArray.from_arrays(columns, names=["n", "line", "ahead", "back"])
+    return {"__lines": pa.ListArray.from_arrays(pa.array(stops, pa.int32()), flat)}
 
 
 def _ranked(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
@@ -139,15 +142,25 @@ def repeated_lines(documents: DataFrame, id: str = "doc_id", text: str = "text",
     return gone.groupBy(*PLACE).agg(F.collect_list("n").alias("lines"))
 
 
-def _without(texts: list[bytes | None], lines: list[list[int] | None]) -> pa.Array:
-    out = []
-    for text, gone in zip(texts, lines):
-        if gone and text is not None:
-            drop = set(gone)
-            left = [line for i, line in enumerate(text.split(b"\n")) if i not in drop]
-            text = b"\n".join(left) if any(x and not x.isspace() for x in left) else b""
-        out.append(None if text is None else text.decode("utf-8", "replace"))
-    return pa.array(out, pa.string())
+def _has_word(line: bytes) -> bool:
+    return bool(line) and not line.isspace()
+
+
+def _without(texts: list[bytes | None], deleted: list[list[int] | None]) -> dict[str, pa.Array]:
+    out, counts = [], []
+    for text, numbers in zip(texts, deleted):
+        lines = text.split(b"\n") if text else []
+        counts.append(sum(map(_has_word, lines)))
+        if numbers:
+            drop = set(numbers)
+            left = [line for i, line in enumerate(lines) if i not in drop]
+            text = b"\n".join(left) if any(map(_has_word, left)) else b""
+        out.append(text)
+    return {
+        "__text": pa.array(out, pa.binary()).cast(pa.string()),
+        "__n_lines": pa.array(counts, pa.int64()),
+        "__n_deleted": pa.array([len(x or ()) for x in deleted], pa.int64()),
+    }
 
 
 def line_dedup(documents: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -169,16 +182,10 @@ def line_dedup(documents: DataFrame, id: str = "doc_id", text: str = "text", min
     schema = ", ".join(f"{c} {kinds[c]}" for c in others) + ", __text string, __n_lines bigint, __n_deleted bigint"
 
     def run(batches):
-        for batch in batches:
-            texts = batch.column(len(others) + 1).cast(pa.large_binary()).to_pylist()
-            lines = batch.column(len(others)).to_pylist()
-            made = [
-                _without(texts, lines),
-                pa.array([sum(1 for x in (t or b"").split(b"\n") if x and not x.isspace()) for t in texts], pa.int64()),
-                pa.array([len(x or ()) for x in lines], pa.int64()),
-            ]
-            columns = [batch.column(i) for i in range(len(others))] + made
-            yield pa.RecordBatch.from_arrays(columns, names=[*others, "__text", "__n_lines", "__n_deleted"])
+        for batch in sliced(batches):
+            made = _without(texts_of(batch.column(len(others) + 1)), batch.column(len(others)).to_pylist())
+            columns = [batch.column(i) for i in range(len(others))] + list(made.values())
+            yield pa.RecordBatch.from_arrays(columns, names=[*others, *made])
 
     done = joined.mapInArrow(run, schema)
     back = [F.col("__text" if i == at_text else f"c{i}").alias(c) for i, c in enumerate(names)]
