@@ -19,9 +19,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the trees."""
-    judged = trees.quality_rules(docs, table(spark, sf_dir, "labels"))
-    rejected = judged.filter("not kept").select(judged["doc_id"].alias("__doc")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["__doc"]), "left_anti")
+    return trees.kept_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +31,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates."""
     judged = minhash.near_duplicates(docs)
     dropped = judged.filter("not kept").select(judged["doc_id"].alias("__doc")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["__doc"], "left_anti")
+    # One plan at every size: texts and decisions meet by a sorted merge.
+    return docs.join(dropped.hint("merge"), docs["doc_id"] == dropped["__doc"], "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -176,7 +176,8 @@ def line_dedup(documents: DataFrame, id: str = "doc_id", text: str = "text", min
     at_id, at_text = f"c{names.index(id)}", names.index(text)
     others = [f"c{i}" for i in range(len(names)) if i != at_text]
     keyed = slim.withColumn("__key", F.xxhash64(f"c{at_text}"))
-    joined = keyed.join(gone, F.col(at_id).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__text_key")), "left")
+    # One plan at every size: texts and deletions meet by a sorted merge.
+    joined = keyed.join(gone.hint("merge"), F.col(at_id).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__text_key")), "left")
     joined = joined.select(*others, "lines", F.col(f"c{at_text}").alias("__text"))
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
     schema = ", ".join(f"{c} {kinds[c]}" for c in others) + ", __text string, __n_lines bigint, __n_deleted bigint"

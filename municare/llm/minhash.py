@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from municare.llm.common import is_empty, map_texts, stored
@@ -97,7 +97,8 @@ def _sets(texts) -> dict[str, pa.Array]:
 def _full_sets(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     """(__id, __set) of the classes in ``nodes``, made from whole texts."""
     wanted = stored(classes.select("node", F.col("__key").alias("key")).join(nodes, "node"), "wanted")
-    texts = documents.join(wanted, F.col("__id") == F.col("node"), "left_semi")
+    # One plan at every size: texts and classes meet by a sorted merge.
+    texts = documents.join(wanted.hint("merge"), F.col("__id") == F.col("node"), "left_semi")
     sets = map_texts(texts, ["__id"], "__text", _sets, "__set array<bigint>, __key binary")
     # An id may repeat, with the same text or with others; one set of the class is enough.
     sets = sets.join(wanted, (F.col("__id") == F.col("node")) & (F.col("__key") == F.col("key")), "left_semi")
@@ -118,21 +119,21 @@ def _similar(shared: Column, a_size: Column, b_size: Column, percent: int) -> Co
 
 
 def _side(groups: DataFrame, key: list[str], name: str) -> DataFrame:
-    columns = ["node", "size", "component", "with_hub"]
+    columns = ["node", "size", "component", "with_hub", "outside"]
     return groups.select(*key, *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
 
 def _listed(groups: DataFrame, key: list[str], percent: int, first: Column | None = None, foreign: bool = True) -> DataFrame:
     """Distinct pairs (a, b, a_size, b_size) of a group that lie in different components and may be
     similar. They share at most the lower of their parts within the hub and, if ``foreign``
-    shingles may agree, the lower of their parts outside it. ``first`` restricts one side."""
+    shingles may agree, the lower of their numbers of shingles ``outside`` it that come into
+    question. ``first`` restricts one side."""
     x = _side(groups.filter(first) if first is not None else groups, key, "x")
     pairs = x.join(_side(groups, key, "y"), key).filter("x_component != y_component and x_node != y_node")
     col = F.col
     most = F.least("x_with_hub", "y_with_hub")
     if foreign:
-        most = most + F.least(col("x_size") - col("x_with_hub"), col("y_size") - col("y_with_hub"))
-    most = F.least(F.coalesce(most, col("x_size")), "x_size", "y_size")
+        most = most + F.least("x_outside", "y_outside")
     pairs = pairs.filter(_similar(most, col("x_size"), col("y_size"), percent))
     swap = col("x_node") > col("y_node")
     ordered = [
@@ -216,7 +217,8 @@ def _links(buckets: DataFrame, documents: DataFrame, classes: DataFrame, percent
     compared = _compared(pairs, sets)
     links = _linked(compared, percent)
     shared = compared.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("shared").alias("with_hub"))
-    groups = stored(groups.join(shared, ["hub", "node"]), "groups")
+    groups = groups.join(shared, ["hub", "node"]).withColumn("outside", F.col("size") - F.col("with_hub"))
+    groups = stored(groups, "groups")
     groups = _still_apart(groups, ["hub"], components(links))
     rest = _listed(groups.filter(F.col("n") <= FEW), ["hub"], percent)
     large = groups.filter(F.col("n") > FEW)
@@ -226,12 +228,16 @@ def _links(buckets: DataFrame, documents: DataFrame, classes: DataFrame, percent
 
     foreign = large.join(sets.select(F.col("__id").alias("node"), F.col("__set").alias("own")), "node")
     foreign = foreign.join(sets.select(F.col("__id").alias("hub"), F.col("__set").alias("hubs")), "hub")
-    foreign = foreign.withColumn("shingle", F.explode(F.array_except("own", "hubs"))).drop("own", "hubs", "n")
+    foreign = foreign.withColumn("shingle", F.explode(F.array_except("own", "hubs"))).drop("own", "hubs", "n", "outside")
     foreign = stored(foreign, "foreign")
     key = ["hub", "shingle"]
     many = foreign.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
     many = stored(many.filter("n > 1 and low != high").drop("low", "high"), "many")
-    foreign = stored(foreign.join(many, key), "foreign")
+    # The rarest first: of the shingles that two classes share, the first one has all others
+    # behind it, so what is left from a shingle on bounds a pair that is found by it.
+    order = Window.partitionBy("hub", "node").orderBy(F.desc("n"), F.desc("shingle"))
+    foreign = foreign.join(many, key).withColumn("outside", F.row_number().over(order).cast("long"))
+    foreign = stored(foreign, "foreign")
     rest = rest.union(_listed(foreign.filter(F.col("n") <= FEW), key, percent))
 
     large = foreign.filter(F.col("n") > FEW)

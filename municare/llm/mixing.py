@@ -112,6 +112,7 @@ def mixture(documents: DataFrame, **how) -> DataFrame:
     """
     times = mix(documents, **how).groupBy("doc_id").agg(F.max("times").alias("__times"))
     times = stored(times.filter("__times > 0").withColumnRenamed("doc_id", "__doc"), "times")
-    joined = documents.join(times, documents["doc_id"].eqNullSafe(times["__doc"]))
+    # One plan at every size: texts and times meet by a sorted merge.
+    joined = documents.join(times.hint("merge"), documents["doc_id"].eqNullSafe(times["__doc"]))
     again = F.explode(F.sequence(F.lit(1), F.col("__times")))
     return joined.select(*[documents[c] for c in documents.columns], again.alias("__again")).drop("__again")

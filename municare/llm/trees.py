@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from municare.llm.common import map_texts, stored
+from municare.llm.common import map_texts
 
 SYMBOLS = b"#*$%&|<>"
 SAMPLE = 20_000  # labelled documents that the trees are fitted on, at most
@@ -199,54 +199,65 @@ def sampled_labels(labels: DataFrame, label: str, sample: int, chosen: Column |
     return rows.orderBy(F.xxhash64("__doc"), "__doc").limit(sample)
 
 
-def quality_rules(
-    documents: DataFrame,
-    labels: DataFrame,
-    sample: int = SAMPLE,
-    keep_from: float = KEEP_FROM,
-    falling: tuple[str, ...] = FALLING,
-) -> DataFrame:
-    """Per row of ``documents`` (doc_id, text): doc_id, the counts, base_failed, score, kept.
+_MEASURES = ", ".join([f"__{c} bigint" for c in COUNTS] + [f"__{c} double" for c in SHARES])
 
-    A null text has no words and fails the base rules. ``base_failed``: under 50 words, or over
-    half of them in repeated windows. ``kept``: passes them and the trees give at least
-    ``keep_from``. Without usable labels, or with labels of one kind, only the base rules and
-    the share of good labels (1 without labels) decide. A document with several labels counts
-    by the lowest. Repeated rows are judged each; other columns are not read.
-    """
-    measured = stored(
-        map_texts(
-            documents, ["doc_id"], "text", _columns,
-            ", ".join([f"__{c} bigint" for c in COUNTS] + [f"__{c} double" for c in SHARES]),
-        ),
-        "statistics",
-    )
+
+def fit_rules(
+    documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, falling: tuple[str, ...] = FALLING
+) -> Forest:
+    """Trees fitted on at most ``sample`` labelled documents; only their texts are measured."""
     picked = sampled_labels(labels, "quality", sample)
-    rows = measured.join(F.broadcast(picked), F.col("doc_id") == F.col("__doc"))
+    rows = documents.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("__doc"))
+    rows = map_texts(rows, ["__doc", "__label"], "text", _columns, _MEASURES)
     # An id that many rows repeat is one example.
     rows = rows.groupBy("__doc").agg(
         F.min("__label").alias("y"), *[F.max(f"__{c}").alias(c) for c in SHARES]
     )
     known = rows.toPandas().sort_values("__doc")
-    directions = np.array([-1 if c in falling else 0 for c in SHARES])
-    if len(known):
-        forest = fit_forest(known[list(SHARES)].to_numpy(float), known["y"].to_numpy(float), directions)
-    else:
+    if not len(known):
         none = np.zeros(0, np.int64)
-        forest = Forest(np.inf, 0, none, none, none, none, none, none)
-    names = [f"__{c}" for c in SHARES]
-
-    def scored(batches):
-        for batch in batches:
-            x = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names], 1)
-            columns = [c for c in batch.schema.names if c not in names]
-            arrays = [batch.column(c) for c in columns] + [pa.array(forest.probability(x))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "score"])
-
-    id_type = documents.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, " + ", ".join(f"__{c} bigint" for c in COUNTS) + ", score double"
-    judged = measured.mapInArrow(scored, schema)
-    judged = judged.select("doc_id", *[F.col(f"__{c}").alias(c) for c in COUNTS], "score")
-    failed = (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
-    judged = judged.withColumn("base_failed", failed)
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(keep_from)))
+        return Forest(np.inf, 0, none, none, none, none, none, none)
+    directions = np.array([-1 if c in falling else 0 for c in SHARES])
+    return fit_forest(known[list(SHARES)].to_numpy(float), known["y"].to_numpy(float), directions)
+
+
+def judge(documents: DataFrame, forest: Forest, keep: list[str], keep_from: float = KEEP_FROM) -> DataFrame:
+    """``keep`` columns with the counts as __n_words and so on, __score, __base_failed and __kept:
+    one pass over whole texts, without a shuffle. The trees, some tens of kilobytes, travel with
+    the function."""
+
+    def each(texts):
+        found = [statistics(t) for t in texts]
+        columns = {f"__{c}": pa.array([f[0][i] for f in found], pa.int64()) for i, c in enumerate(COUNTS)}
+        shares = np.array([f[1] for f in found], float).reshape(len(found), len(SHARES))
+        return columns | {"__score": pa.array(forest.probability(shares), pa.float64())}
+
+    schema = ", ".join(f"__{c} bigint" for c in COUNTS) + ", __score double"
+    judged = map_texts(documents, keep, "text", each, schema)
+    failed = (F.col("__n_words") < 50) | (F.lit(100) * F.col("__n_repeat_words") > F.lit(50) * F.col("__n_words"))
+    judged = judged.withColumn("__base_failed", failed)
+    return judged.withColumn("__kept", ~F.col("__base_failed") & (F.col("__score") >= F.lit(keep_from)))
+
+
+def quality_rules(documents: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """Per row of ``documents`` (doc_id, text): doc_id, the counts, base_failed, score, kept.
+
+    A null text has no words and fails the base rules. ``base_failed``: under 50 words, or over
+    half of them in repeated windows. ``kept``: passes them and the trees give at least
+    KEEP_FROM. Without usable labels, or with labels of one kind, only the base rules and
+    the share of good labels (1 without labels) decide. A document with several labels counts
+    by the lowest. Repeated rows are judged each; other columns are not read.
+    """
+    slim = documents.select("doc_id", "text")
+    judged = judge(slim, fit_rules(slim, labels, **how), ["doc_id"])
+    return judged.select("doc_id", *[F.col(f"__{c}").alias(c) for c in (*COUNTS, "base_failed", "score", "kept")])
+
+
+def kept_documents(documents: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """The rows of ``documents`` that ``quality_rules`` keeps, with their columns."""
+    names = documents.columns
+    slim = documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    at = {name: f"c{names.index(name)}" for name in ("doc_id", "text")}
+    forest = fit_rules(slim.select(*[F.col(c).alias(n) for n, c in at.items()]), labels, **how)
+    judged = judge(slim.withColumn("text", F.col(at["text"])), forest, slim.columns).filter("__kept")
+    return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

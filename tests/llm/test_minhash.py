@@ -40,8 +40,9 @@ def family(rng, start, count, edits):
     return out
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_equals_brute_force(documents, seed):
+@pytest.mark.parametrize("seed, few", [(0, 16), (1, 1), (2, 2), (3, 1)])
+def test_equals_brute_force(documents, monkeypatch, seed, few):
+    monkeypatch.setattr(minhash, "FEW", few)
     rng = random.Random(seed)
     docs = []
     for f in range(12):
@@ -51,6 +52,13 @@ def test_equals_brute_force(documents, seed):
     for k in range(12):
         docs.append((5000 - k, " ".join(words)))
         words[8 * k : 8 * k + 4] = [f"n{k}{j}" for j in range(4)]
+    # Many copies around the limit: most are like the first, few are like each other.
+    base = [f"b{k}" for k in range(130)]
+    for k in range(40):
+        words = list(base)
+        for _ in range(rng.randint(2, 9)):
+            words[rng.randrange(130)] = f"v{rng.randint(0, 5)}"
+        docs.append((6000 + k, " ".join(words)))
     docs += [(7000, "a b c"), (7001, "A  B c"), (7002, "a b"), (7003, None), (7004, ""), (7005, "\t\n")]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(documents(docs)).collect()}
     assert got == brute(docs)

@@ -53,6 +53,7 @@ def test_rules_and_trees_judge(spark, documents):
     bad = [(1000 + i, " ".join(w + "###" for w in words(rng.randint(60, 200)).split())) for i in range(60)]
     repeat = [(2000, "a b c " * 40), (2001, words(49)), (2002, None), (2002, None), (None, words(80))]
     docs = documents(good + bad + repeat)
+    assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     labels = spark.createDataFrame([(i, 1, 0, 0) for i, _ in good[:100]] + [(i, 0, 0, 0) for i, _ in bad[:40]] + [(None, 0, 0, 0), (5, None, 0, 0), (6, 1, 0, 0)], LABELS)
     got = [(r["doc_id"], r["base_failed"], r["kept"]) for r in trees.quality_rules(docs, labels).collect()]
     assert len(got) == len(good + bad + repeat)
@@ -69,3 +70,9 @@ def test_odd_rows(spark, odd):
     assert trees.quality_rules(odd.limit(0), labels).count() == 0
     one = spark.createDataFrame([(5, 1, 0, 0), (5, 1, 0, 0), (6, 1, 0, 0)], LABELS)
     assert trees.quality_rules(odd, one).filter("kept").count() == 3
+
+
+def test_kept_documents_keep_their_columns(spark, odd):
+    labels = spark.createDataFrame([], LABELS)
+    out = trees.kept_documents(odd, labels)
+    assert out.columns == odd.columns and sorted(r["doc_id"] for r in out.collect()) == [5, 6, 8]
