@@ -18,18 +18,17 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = links.filter("a is not null and b is not null and a != b")
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stored(both.distinct(), "links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
+    both = stored(both, "links")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("label"))
+    labels = stored(labels, "labels")
     while True:
         around = both.join(labels, F.col("b") == F.col("node"))
-        around = around.select(F.col("a").alias("node"), "label")
-        best = labels.select("node", "label").union(around).groupBy("node").agg(F.min("label").alias("label"))
+        around = around.select(F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("own"))
+        seen = labels.select("node", "label", F.col("label").alias("own")).union(around)
+        best = seen.groupBy("node").agg(F.min("label").alias("label"), F.max("own").alias("own"))
         best = stored(best, "labels")
+        if is_empty(best.filter("label != own")):
+            return best.select("node", F.col("label").alias("component"))
         up = best.select(F.col("node").alias("up"), F.col("label").alias("up_label"))
         jumped = best.join(up, F.col("label") == F.col("up"))
-        jumped = stored(jumped.select("node", F.col("up_label").alias("label")), "labels")
-        old = labels.select(F.col("node").alias("old"), F.col("label").alias("old_label"))
-        moved = jumped.join(old, (F.col("node") == F.col("old")) & (F.col("label") != F.col("old_label")))
-        labels = jumped
-        if is_empty(moved):
-            return labels.withColumnRenamed("label", "component")
+        labels = stored(jumped.select("node", F.col("up_label").alias("label")), "labels")
