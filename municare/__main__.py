@@ -7,7 +7,9 @@ import json
 
 from municare.intake import FILE_GROUPS, JSON_LAYOUTS, ingest_file, ingest_json, open_raw
 from municare.plans import MODELS, build_marts, check_marts, open_marts
-from municare.session import build_session
+from municare.schemas import RAW_SCHEMAS
+from municare.session import build_session, size_shuffles
+from municare.sources.lookups import REFERENCE_CODES
 
 
 def parser() -> argparse.ArgumentParser:
@@ -26,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     files.add_argument("--year", type=int, required=True)
     files.add_argument("--month", type=int)
     files.add_argument("--extension", default="parquet")
+    files.add_argument("--scope", nargs="+", default=REFERENCE_CODES, help="six-digit municipality codes")
 
     answers = command("ingest-json", "load saved API answers")
     answers.add_argument("--path", required=True)
@@ -39,7 +42,9 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--bootstrap-period")
     build.add_argument("--models", nargs="+", choices=sorted(MODELS))
 
-    command("check", "run the declared checks on the stored marts")
+    check = command("check", "run the declared checks on the stored marts")
+    for reader in (build, check):
+        reader.add_argument("--may-be-empty", nargs="+", default=[], choices=sorted(RAW_SCHEMAS), help="raw tables that were never loaded")
     return top
 
 
@@ -47,14 +52,16 @@ def main(arguments: list[str] | None = None) -> None:
     asked = vars(parser().parse_args(arguments))
     run, root = asked.pop("command"), asked.pop("root")
     spark = build_session()
+    size_shuffles(spark, asked.get("landing") or asked.get("path") or root)
     if run == "ingest-file":
         ingest_file(spark, asked.pop("landing"), root, **asked)
     elif run == "ingest-json":
         ingest_json(spark, asked.pop("path"), root, **asked)
     elif run == "build":
-        build_marts(spark, open_raw(spark, root), root, asked["bootstrap_period"], asked["models"])
+        raw = open_raw(spark, root, asked["may_be_empty"])
+        build_marts(spark, raw, root, asked["bootstrap_period"], asked["models"])
     else:
-        check_marts(open_marts(spark, open_raw(spark, root), root), root)
+        check_marts(open_marts(spark, open_raw(spark, root, asked["may_be_empty"]), root), root)
 
 
 if __name__ == "__main__":

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from municare import storage
 from municare.catalog import landed
 from municare.catalog.landed import code6
 from municare.catalog.models import ADMISSION, BIRTH, DEATH
 from municare.catalog.registry import query, table
+from municare.intake import ingest_file, open_raw
 from municare.operators import quality
 from municare.operators.quality import Check
 from municare.plans import Workspace
@@ -16,7 +18,9 @@ from municare.plans.staging import quarantine
 from municare.sources import raw as src
 from municare.sources.landing import records_from_text
 from municare.sources.lookups import REFERENCE_CODES
-from municare.sources.validate import field_audit
+from municare.schemas import not_null
+from municare.session import shared_folder
+from municare.sources.validate import field_audit, value_audit
 
 SCOPED = ", ".join(f"'{c}'" for c in REFERENCE_CODES)
 
@@ -33,6 +37,89 @@ def facility_file(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("codigo_cnes", "cod_municipio_ibge6", "competencia")
 
 
+OTHERS = [c for i in range(27) if (c := str(100000 + i)) not in REFERENCE_CODES][5:7]
+
+
+def _land(spark: SparkSession, rows: DataFrame, landing: str, name: str) -> None:
+    """Rows as one Parquet file of this name in a landing folder."""
+    beside = shared_folder(spark, "part")
+    rows.coalesce(1).write.parquet(beside)
+    part = next(n for n in storage.names(spark, beside) if n.endswith(".parquet"))
+    storage.rename(spark, f"{beside}/{part}", f"{landing}/{name}")
+
+
+def _landing(spark: SparkSession, rows: DataFrame, *names: str) -> str:
+    """A landing folder whose files share the rows."""
+    landing = shared_folder(spark, "landing")
+    rows.limit(0).write.parquet(landing)
+    for i, name in enumerate(names):
+        _land(spark, rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(len(names))) == i), landing, name)
+    return landing
+
+
+@query(
+    "q43_ingest_other_municipalities",
+    f"""
+select distinct lpad(cast(o_custkey as varchar), 7, '0') as codigo_cnes,
+    {code6("o_custkey % 27")} as cod_municipio_ibge6, strftime(o_orderdate, '%Y%m') as competencia
+from orders where {code6("o_custkey % 27")} in ({", ".join(f"'{c}'" for c in OTHERS)})""",
+)
+def ingest_other_municipalities(spark: SparkSession, folder: str) -> DataFrame:
+    """Facilities landed in three parts, suffixes and letter case mixed, loaded for two
+    municipalities other than the usual ones."""
+    rows = landed.facility_file(spark, folder)
+    landing = _landing(spark, rows, "STRJ2501.parquet", "strj2501A.parquet", "StRj2501b.PARQUET")
+    root, name = shared_folder(spark, "lake"), "raw_cnes.estabelecimentos"
+    for _ in range(2):
+        ingest_file(spark, landing, root, name, "rj", 2025, 1, scope=OTHERS)
+    return open_raw(spark, root)[name].select("codigo_cnes", "cod_municipio_ibge6", "competencia")
+
+
+@query(
+    "q44_ingest_parts_of_an_arrival",
+    """
+select '202501' as competencia_arquivo, strftime(l_shipdate, '%Y%m') as competencia, 3 as files,
+    count(*) as n, cast(sum(cast(l_quantity as int)) as bigint) as q
+from lineitem where month(l_shipdate) < 7 group by 2""",
+)
+def ingest_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Production landed in three parts; every part is found, tagged and read once, late
+    periods included, and loading again replaces the arrival."""
+    rows = landed.production_file(spark, folder).filter("substr(PA_CMP, 5, 2) < '07'")
+    landing = _landing(spark, rows, "PARJ2501a.parquet", "parj2501B.parquet", "PARJ2501c.parquet")
+    root, name = shared_folder(spark, "lake"), "raw_sia.producao_ambulatorial"
+    for _ in range(2):
+        ingest_file(spark, landing, root, name, "rj", 2025, 1)
+    stored = open_raw(spark, root)[name]
+    files = stored.agg(F.countDistinct("_source_file").cast("int").alias("files"))
+    counted = stored.groupBy("competencia_arquivo", "competencia").agg(
+        F.count("*").alias("n"), F.sum(F.col("quantidade_produzida").cast("int")).alias("q")
+    )
+    return counted.select("competencia_arquivo", "competencia", files.select("files").scalar().alias("files"), "n", "q")
+
+
+@query(
+    "q45_missing_values",
+    """
+select 'valor_total' as "column", count(*) as missing from orders where o_orderkey % 7 = 0
+union all
+select 'diagnostico_principal', count(*) from orders where o_custkey % 5 = 0""",
+)
+def missing_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Admission records damaged in two fields: which required columns lack how many values."""
+    damaged = landed.admission_file(spark, folder)
+    rows = src.normalize(damaged, "raw_sih.internacoes", {})
+    number = F.col("numero_aih").cast("bigint")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    rows = rows.join(orders, number == F.col("o_orderkey"))
+    rows = rows.withColumn("valor_total", F.when(F.col("o_orderkey") % 7 != 0, F.col("valor_total")))
+    rows = rows.withColumn(
+        "diagnostico_principal", F.when(F.col("o_custkey") % 5 != 0, F.col("diagnostico_principal"))
+    )
+    present = [c for c in not_null("raw_sih.internacoes") if c in rows.columns]
+    return value_audit(rows, present)
+
+
 @query(
     "src_team_file",
     f"""

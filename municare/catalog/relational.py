@@ -91,27 +91,16 @@ from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey
 group by 1, 2""",
 )
 def role_playing_join(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines are counted per order and supplier before anything is shuffled for a join."""
-    lines = (
-        table(spark, folder, "lineitem")
-        .groupBy("l_orderkey", "l_suppkey")
-        .agg(F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
-    )
+    """Lines and orders get their nation first, by counted broadcasts where these fit, and
+    meet once on the order; the pair of nations is summed before its rows are shuffled."""
+    customers = bounded(table(spark, folder, "customer").select("c_custkey", "c_nationkey"))
+    suppliers = bounded(table(spark, folder, "supplier").select("s_suppkey", "s_nationkey"))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    pairs = (
-        lines.join(orders, F.expr("l_orderkey = o_orderkey"))
-        .groupBy("l_suppkey", "o_custkey")
-        .agg(F.sum("n").alias("n"), F.sum("q").alias("q"))
-    )
-    facts = pairs.join(
-        table(spark, folder, "customer").select("c_custkey", "c_nationkey"),
-        F.expr("o_custkey = c_custkey"),
-    ).join(
-        table(spark, folder, "supplier").select("s_suppkey", "s_nationkey"),
-        F.expr("l_suppkey = s_suppkey"),
-    )
+    orders = orders.join(customers, F.expr("o_custkey = c_custkey")).select("o_orderkey", "c_nationkey")
+    lines = table(spark, folder, "lineitem").join(suppliers, F.expr("l_suppkey = s_suppkey"))
+    facts = lines.join(orders, F.expr("l_orderkey = o_orderkey"))
     by_place = facts.groupBy("s_nationkey", "c_nationkey").agg(
-        F.sum("n").alias("lines"), F.sum("q").alias("quantity")
+        F.count("*").alias("lines"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
     )
     nations = bounded(table(spark, folder, "nation"))
     roles = {"s_nationkey": "supplier_place", "c_nationkey": "customer_place"}
@@ -396,14 +385,12 @@ LIMITS = """values ('STANDARD', 40, 20), ('ECONOMY', 30, 30), ('SMALL', null, 10
     f"""
 select p_partkey, p_size, hi, lo, case when p_size >= hi then 'ok' when p_size >= lo then 'atencao'
     else 'critico' end as status
-from part join (select * from ({LIMITS.replace(' as t', ') as t')}) on kind = p_type
-where hi is not null""",
+from part left join (select * from ({LIMITS.replace(' as t', ') as t')}) on kind = p_type""",
 )
 def threshold_bands(spark: SparkSession, folder: str) -> DataFrame:
     limits = _values(spark, LIMITS)
     parts = table(spark, folder, "part").select("p_partkey", "p_size", "p_type")
     rows = left_lookup(parts, limits, {"p_type": "kind"}, {"hi": "hi", "lo": "lo"})
-    rows = rows.filter(F.col("hi").isNotNull())
     status = band("p_size", "hi", "lo", ("ok", "atencao", "critico"))
     return rows.select("p_partkey", "p_size", "hi", "lo", status.alias("status"))
 

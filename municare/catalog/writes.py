@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from municare import storage
 from municare.catalog.registry import comparable, query, table
 from municare.operators import keep_other_partitions, latest_per_key, upsert_rows
 from municare.session import shared_folder
@@ -16,6 +17,8 @@ from municare.sinks import (
     replace_partitions,
     upsert,
 )
+from municare.sources import read_parts
+from municare.sources.landing import POSITION
 from municare.streaming import ingest_landing
 
 MONEY = "decimal(18,2)"
@@ -56,6 +59,40 @@ def upsert_stored(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(read_upserted(spark, path, lines.schema))
 
 
+TWICE = """
+select l_orderkey, l_linenumber, cast(max(l_quantity) + 1 as bigint) as q, 'second' as told
+from lineitem group by 1, 2"""
+
+
+@query("q40_upsert_later_record_wins", TWICE)
+def later_record_wins(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line comes twice in one landed file, under one load time and one file name; the
+    later record of the file wins. The second load does the same again."""
+    lines = table(spark, folder, "lineitem").groupBy(*LINE_KEYS).agg(
+        F.max("l_quantity").cast("bigint").alias("q")
+    )
+    twice = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("told")) for i, t in enumerate(("first", "second"))]))
+    records = lines.select("*", twice.alias("at")).select(*LINE_KEYS, (F.col("q") + F.col("at.i")).alias("q"), "at.told")
+    landing, path = shared_folder(spark, "twice"), shared_folder(spark, "upsert")
+    records.repartition(4, *LINE_KEYS).sortWithinPartitions(*LINE_KEYS, "q").write.parquet(landing)
+    parts = [f"{landing}/{n}" for n in storage.names(spark, landing) if n.endswith(".parquet")]
+    for _ in range(2):
+        landed = read_parts(spark, parts).withColumn("_loaded_at", F.lit("2025-01-01").cast("timestamp"))
+        upsert(landed, path, LINE_KEYS, slots=8, order_only=(POSITION,))
+    stored = landed.drop(POSITION).schema
+    return read_upserted(spark, path, stored).select(*LINE_KEYS, "q", "told")
+
+
+@query("q41_upsert_with_other_slots", LAST_LINE)
+def upsert_with_other_slots(spark: SparkSession, folder: str) -> DataFrame:
+    """A table filled with 8 slots, then loaded with 16 and with as many as it has: each key once."""
+    lines = table(spark, folder, "lineitem")
+    path = shared_folder(spark, "slots")
+    for status, slots in (("F", 8), ("O", 16), ("O", None)):
+        upsert(lines.filter(F.col("l_linestatus") == status), path, LINE_KEYS, LINE_ORDER, slots=slots)
+    return _shown(read_upserted(spark, path, lines.schema))
+
+
 REPLACED = """
 with changed as (
     select strftime(o_orderdate, '%Y%m') as m, cast(o_totalprice as decimal(18,2))
@@ -154,6 +191,22 @@ def bootstrap(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, path, rows.schema).groupBy("event", "arrival").agg(F.count("*").alias("n"))
 
 
+@query(
+    "q42_bootstrap_of_an_absent_period",
+    f"select event, arrival, count(*) as n from {ARRIVED} where arrival = '199801' group by 1, 2",
+)
+def bootstrap_absent(spark: SparkSession, folder: str) -> DataFrame:
+    """A period that the source does not hold is asked for: what is stored stays."""
+    rows = _arrivals(spark, folder)
+    path = shared_folder(spark, "bootstrap")
+    refresh_incremental(rows, path, lambda r: r, "arrival", only="199801")
+    without = rows.filter("arrival != '199801'")
+    for period in ("199801", "209901"):
+        if refresh_incremental(without, path, lambda r: r, "arrival", only=period):
+            raise AssertionError(f"{period} is not in the source")
+    return read_table(spark, path, rows.schema).groupBy("event", "arrival").agg(F.count("*").alias("n"))
+
+
 @query(
     "q34_stream_landing",
     """

@@ -30,9 +30,8 @@ def unreadable(c: Column | str, parsed: Column) -> Column:
 
 def per_capita(amount: Column | str, base: Column | str, scale: int, digits: int) -> Column:
     """``scale * amount / base`` rounded half up; NULL where the base is zero."""
-    factor = F.lit(scale).cast("decimal(6,1)")
-    top = factor * _col(amount).cast("decimal(18,2)")
-    bottom = F.nullif(_col(base).cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)"))
+    top = F.lit(scale).cast("decimal(9,0)") * _col(amount).cast("decimal(18,4)")
+    bottom = F.nullif(_col(base).cast("decimal(18,4)"), F.lit(0).cast("decimal(18,4)"))
     return F.round(top / bottom, digits)
 
 

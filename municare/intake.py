@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municare.functions import period_month, period_year
-from municare.schemas import RAW_SCHEMAS, raw_schema
+from municare.schemas import RAW_SCHEMAS, not_null, raw_schema
 from municare.sinks import read_table, read_upserted, replace_partitions, table_path, upsert
 from municare.sources import (
     annual_prefix,
@@ -22,8 +22,10 @@ from municare.sources import (
     reject_full_pages,
     require_rows,
 )
+from municare.sources.landing import POSITION, SOURCE_FILE, empty_answers
 from municare.sources.lookups import REFERENCE_CODES
-from municare.sources.raw import SOURCES, facility_counts, population, territory
+from municare.sources.raw import SOURCES, facility_counts, place_scope, population, territory
+from municare.sources.validate import EmptySource, refuse
 
 # File group of each register, how its API answers are wrapped, page limits.
 FILE_GROUPS = {
@@ -63,18 +65,29 @@ def raw_path(root: str, table: str) -> str:
 
 
 def _upsert(rows: DataFrame, root: str, table: str) -> None:
+    """The last record of a key wins: by load time, then file, then place in the file."""
+    names = raw_schema(table).names
+    place = [c for c in (SOURCE_FILE, POSITION) if c in rows.columns and c not in names]
     upsert(
-        rows.select(*raw_schema(table).names),
+        _checked(rows, table).select(*names, *place),
         raw_path(root, table),
         UPSERT_KEYS[table],
         within=PERIOD_IN_KEY.get(table),
+        order_only=place,
     )
 
 
+def _checked(rows: DataFrame, table: str) -> DataFrame:
+    """Stop at a record that lacks a value its table must have."""
+    missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in not_null(table)]), lambda c: c.isNotNull())
+    told = F.concat(F.lit(f"{table}: no value for "), F.array_join(missing, ", "))
+    return refuse(rows, F.size(missing) > 0, told)
+
+
 def _replace(
     rows: DataFrame, root: str, table: str, partitions: Sequence[Mapping[str, object]]
 ) -> None:
-    ordered = rows.select(*raw_schema(table).names)
+    ordered = _checked(rows, table).select(*raw_schema(table).names)
     replace_partitions(ordered, raw_path(root, table), partitions)
 
 
@@ -92,7 +105,8 @@ def ingest_file(
     """Load one register file, all its parts, into its raw table.
 
     Facilities, teams and admissions are upserted; production replaces its arrival period,
-    network size its period, deaths and births their year and municipalities in scope.
+    network size its period, deaths and births their year and municipalities in scope. Only
+    records of the municipalities in ``scope`` are loaded where the source is loaded in part.
     """
     group = FILE_GROUPS[table]
     name = annual_prefix(group, uf, year) if month is None else monthly_prefix(group, uf, year, month)
@@ -103,7 +117,7 @@ def ingest_file(
         _replace(stamp(facility_counts(landed), source=name), root, table,
                  [{"competencia": p} for p in periods])
         return
-    rows = normalize(landed, table)
+    rows = normalize(landed, table, place_scope(table, scope))
     if table == "raw_sia.producao_ambulatorial":
         arrival = f"{year}{month:02d}"
         stamped = stamp(rows, year=period_year("competencia"), month=period_month("competencia"))
@@ -131,6 +145,10 @@ def ingest_json(
     if table == "raw_ibge.populacao_estimada":
         rows = population(spark.read.text(path, wholetext=True))
     else:
+        # One empty answer among several would otherwise wipe what was stored for it.
+        empty = empty_answers(spark, path, *JSON_LAYOUTS[table]).first()
+        if empty is not None:
+            raise EmptySource(f"{table}: {empty[SOURCE_FILE]} holds no records")
         records = require_rows(read_records(spark, path, *JSON_LAYOUTS[table]), table)
         if table in PAGE_LIMITS:
             reject_full_pages(records, PAGE_LIMITS[table], table)
@@ -151,13 +169,30 @@ def _now(spark: SparkSession) -> Column:
     return F.lit(spark.sql("select current_timestamp()").first()[0])
 
 
-def open_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Every raw table under its declared columns; a table never loaded is empty."""
-    tables = {}
-    for name in RAW_SCHEMAS:
-        path, schema = raw_path(root, name), raw_schema(name)
+class RawTables(Mapping[str, DataFrame]):
+    """The raw tables under a root, each opened when it is read."""
+
+    def __init__(self, spark: SparkSession, root: str, may_be_empty: Sequence[str] = ()):
+        self._spark, self._root, self._may_be_empty = spark, root, may_be_empty
+
+    def __getitem__(self, name: str) -> DataFrame:
+        path, schema = raw_path(self._root, name), raw_schema(name)
+        empty = name in self._may_be_empty
         if name in UPSERT_KEYS:
-            tables[name] = read_upserted(spark, path, schema, PERIOD_IN_KEY.get(name))
-        else:
-            tables[name] = read_table(spark, path, schema)
-    return tables
+            return read_upserted(self._spark, path, schema, PERIOD_IN_KEY.get(name), empty)
+        return read_table(self._spark, path, schema, empty)
+
+    def __contains__(self, name: object) -> bool:
+        return name in RAW_SCHEMAS
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(RAW_SCHEMAS)
+
+    def __len__(self) -> int:
+        return len(RAW_SCHEMAS)
+
+
+def open_raw(spark: SparkSession, root: str, may_be_empty: Sequence[str] = ()) -> RawTables:
+    """Every raw table under its declared columns. A table never loaded is an error when it is
+    read, unless it is named in ``may_be_empty``."""
+    return RawTables(spark, root, may_be_empty)

@@ -32,13 +32,13 @@ def label_pair(
 ) -> DataFrame:
     """Put two labelled values of a long table side by side: ``(label, output name)`` each.
 
-    Both sides are reduced to distinct values before they meet, so copies of a line cannot
-    multiply into pairs.
+    Copies of a line pair with each other, as in the source database; the uniqueness check on
+    the alert id is what reports them.
     """
 
     def side(label: str, name: str) -> DataFrame:
         chosen = rows.filter(F.col(label_column) == label)
-        return chosen.select(*keys, F.col(value).alias(name)).distinct()
+        return chosen.select(*keys, F.col(value).alias(name))
 
     return side(*first).join(side(*second), list(keys), "inner")
 

@@ -43,8 +43,8 @@ def presence_status(
     spans = rows.groupBy(key).agg(
         F.min(period).alias(first), F.max(period).alias(last), F.count("*").alias("__rows")
     )
-    newest = rows.agg(F.max(period)).scalar()
-    placed = join_facts_back(rows, spans, [key], "__rows")
+    newest = spans.agg(F.max(last)).scalar()
+    placed = join_facts_back(rows, spans, [key], "__rows", total=F.sum("__rows"))
     return placed.withColumn(
         status,
         F.when(F.col(period) < F.col(last), F.lit(PAST))

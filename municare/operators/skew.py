@@ -22,12 +22,14 @@ SLOT = "__slot"
 SLOTS = "__slots"
 
 
-def _fair_share(rows: DataFrame, shares: int | None) -> Column:
-    """Rows per share. Counting the rows of a stored table reads footers only."""
+def _fair_share(rows: DataFrame, shares: int | None, total: Column | None = None) -> Column:
+    """Rows per share. Counting the rows of a stored table reads footers only; ``total`` says
+    how else the number of rows follows from ``rows``."""
     if shares is None:
         conf = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
         shares = max(MIN_SHARES, int(conf))
-    return rows.agg(F.count(F.lit(1)) / F.lit(shares)).scalar()
+    counted = F.count(F.lit(1)) if total is None else total
+    return rows.agg(counted / F.lit(shares)).scalar()
 
 
 def _deal(columns: Sequence[str], slots: Column) -> Column:
@@ -42,17 +44,20 @@ def join_facts_back(
     keys: Sequence[str],
     weight: str,
     shares: int | None = None,
+    total: Column | None = None,
 ) -> DataFrame:
     """Join ``rows`` with facts aggregated from them, one row per key. ``weight`` is the
     number of rows behind a key. NULL is a key like any other, as in a window.
 
     Facts of hot keys reach their rows by broadcast. The rows of hot keys then carry a slot
     that matches no fact and scatters them over the reducers of the join that serves the
-    other keys. Both fact sides read the same aggregate, which Spark computes once.
+    other keys. Both fact sides read the same aggregate, which Spark computes once. ``total``,
+    an aggregate over the facts, gives the number of rows without reading them again.
     """
     keys = list(keys)
     measures = [c for c in facts.columns if c not in (*keys, weight)]
-    is_hot = F.col(weight) > _fair_share(rows, shares)
+    fair = _fair_share(rows, shares) if total is None else _fair_share(facts, shares, total)
+    is_hot = F.col(weight) > fair
 
     def side(chosen: Column, tag: str, *extra: Column) -> DataFrame:
         return facts.filter(chosen).select(

@@ -48,14 +48,21 @@ def build_marts(
     return space
 
 
-def open_marts(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> Workspace:
-    """A workspace over the stored marts; views are defined again on the raw tables."""
+def open_marts(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    root: str,
+    names: Sequence[str] | None = None,
+) -> Workspace:
+    """A workspace over the stored marts, all or ``names``; views are defined again on the raw
+    tables. A mart that was never built is an error."""
     space = Workspace(spark, raw)
-    for name in build_order():
+    for name in build_order() if names is None else names:
         if MODELS[name].layer == "marts":
             found = MODELS[name]
             schema = found.build(*[space[r] for r in found.reads]).schema
-            space.put(name, read_table(spark, table_path(root, found.layer, name), schema))
+            path = table_path(root, found.layer, name)
+            space.put(name, read_table(spark, path, schema, may_be_empty=False))
     return space
 
 

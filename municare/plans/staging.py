@@ -148,7 +148,7 @@ def network_size(raw: DataFrame) -> DataFrame:
 
 def production(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Ambulatory production. ``strict=False`` gives NULL for unreadable numbers and dates;
-    ``production_quarantine`` counts what that loses."""
+    ``quarantine`` counts what that loses."""
     return raw.select(
         "codigo_cnes_estabelecimento",
         "cod_municipio_ibge6_estabelecimento", "cod_municipio_ibge6_paciente",
@@ -322,6 +322,8 @@ TOLERANT = {
     "raw_sinasc.nascidos_vivos": lambda: {
         "data_nascimento": day_brazilian("data_nascimento", False),
         "peso_gramas": to_int("peso_gramas", False),
+        "apgar1": to_int("apgar1", False),
+        "apgar5": to_int("apgar5", False),
         "numero_consultas_prenatal": to_int("numero_consultas_prenatal", False),
         "idade_mae": to_int("idade_mae", False),
     },

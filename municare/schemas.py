@@ -115,6 +115,30 @@ RAW_SCHEMAS = {
     ),
 }
 
+# The raw columns that may lack a value; all others must hold one.
+NULLABLE = {
+    "raw_ibge.municipios": (
+        "id_microrregiao nome_microrregiao id_mesorregiao nome_mesorregiao"
+    ),
+    "raw_cnes.estabelecimentos_detalhados": (
+        "nome_razao_social nome_fantasia codigo_tipo_unidade codigo_cep endereco numero_endereco"
+        " bairro numero_telefone latitude longitude email descricao_turno_atendimento"
+        " faz_atendimento_ambulatorial_sus descricao_esfera_administrativa"
+        " codigo_motivo_desabilitacao possui_centro_cirurgico possui_centro_obstetrico"
+        " possui_centro_neonatal possui_atendimento_hospitalar possui_servico_apoio"
+        " possui_atendimento_ambulatorial data_atualizacao"
+    ),
+    "raw_fns.repasses": (
+        "codigo_programa_agil numero_referencia_unica tipo_favorecido descricao_tipo_favorecido"
+        " nome_favorecido id_categoria_despesa quantidade_subtransacoes"
+    ),
+}
+
 
 def raw_schema(table: str) -> T.StructType:
     return T.StructType.fromDDL(RAW_SCHEMAS[table])
+
+
+def not_null(table: str) -> list[str]:
+    """Columns that must hold a value."""
+    return [c for c in raw_schema(table).names if c not in NULLABLE.get(table, "").split()]

@@ -35,11 +35,13 @@ def refresh_incremental(
     ``build`` decides the columns: the table is read under its schema from then on, so added
     columns are NULL in partitions not rebuilt yet and dropped ones are gone. ``aligned``
     says that the source is stored by the same partitions, which makes the refresh map-only.
+    A partition named by ``only`` that the source does not hold changes nothing.
     """
     spark = source.sparkSession
     shape = build(source).schema
     if only is not None:
-        chosen = [only]
+        absent = source.filter(F.col(partition) == F.lit(only)).isEmpty()
+        chosen = [] if absent else [only]
     else:
         chosen = stale_partitions(source, read_table(spark, path, shape), partition, loaded_at)
     if chosen:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Mapping, Sequence
@@ -18,6 +19,33 @@ from municare.sources.validate import refuse
 
 SLOT = "_slot"
 SLOTS = 64
+# Names the folder that holds the valid version of a table, and what belongs to it.
+POINTER = "_current"
+
+
+class MissingTable(ValueError):
+    """A table that was never written."""
+
+
+def _pointer(spark: SparkSession, path: str) -> dict:
+    text = storage.read_text(spark, f"{path}/{POINTER}")
+    return json.loads(text) if text else {}
+
+
+def _valid(spark: SparkSession, path: str) -> str:
+    """The folder with the rows: the version the pointer names, or the table's own folder."""
+    version = _pointer(spark, path).get("version")
+    return f"{path}/{version}" if version else path
+
+
+def _point(spark: SparkSession, path: str, **content: object) -> None:
+    """Make a written version the valid one. Readers that began before go on in the version
+    they began with, so the one before stays; older ones and those of failed runs go."""
+    before = _pointer(spark, path).get("version")
+    storage.replace_text(spark, f"{path}/{POINTER}", json.dumps(content))
+    for name in storage.names(spark, path):
+        if name.startswith("v-") and name not in (before, content["version"]):
+            storage.remove(spark, f"{path}/{name}")
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -25,13 +53,17 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, may_be_empty: bool = True
+) -> DataFrame:
     """Read under a declared schema: partition values keep their type, columns added later
     are NULL in older files and columns no longer declared disappear. A table that was never
-    written reads as empty."""
+    written reads as empty, or is an error unless it ``may_be_empty``."""
     if not storage.exists(spark, path):
+        if not may_be_empty:
+            raise MissingTable(f"{path} was never written")
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return spark.read.schema(schema).parquet(_valid(spark, path)).select(*schema.names)
 
 
 def _write(rows: DataFrame, path: str, partitions: Sequence[str], gather: bool = True) -> None:
@@ -98,8 +130,9 @@ def upsert(
     path: str,
     keys: Sequence[str],
     newest_first: Sequence[str] = ("_loaded_at", "_source_file"),
-    slots: int = SLOTS,
+    slots: int | None = None,
     within: str | None = None,
+    order_only: Sequence[str] = (),
 ) -> None:
     """Upsert by natural key: the batch wins over the table, its newest version of a key wins
     within the batch, NULL keys are refused.
@@ -109,16 +142,23 @@ def upsert(
     overwrite keeps the files being read until the job commits, so a lost executor or a
     failed job leaves the table as it was. When the batch's keys pass the broadcast check
     the stored rows are not shuffled at all.
+
+    ``order_only`` columns of the batch settle which of equally new rows came last, such as
+    their place in the load, and are not stored. The number of slots is stored with the
+    table; None keeps it, and another number rewrites the whole table into that many slots
+    before the batch comes in, as a new version that becomes valid at once.
     """
     spark = batch.sparkSession
-    order = [c for c in newest_first if c in batch.columns]
+    order = [c for c in (*newest_first, *order_only) if c in batch.columns]
+    if within is None:
+        slots = _slotted(spark, path, batch.drop(*order_only).schema, keys, slots)
+        path = _valid(spark, path)
     unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     checked = refuse(batch, unkeyed, f"NULL in key {list(keys)}")
     part = within or SLOT
     if within is None:
-        hashed = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(slots)).cast("int")
-        checked = checked.withColumn(SLOT, hashed)
-    latest = latest_per_key(checked, keys, order)
+        checked = checked.withColumn(SLOT, _slot(keys, slots))
+    latest = latest_per_key(checked, keys, order).drop(*order_only)
     touched = {r[0]: r[1] for r in latest.groupBy(part).count().collect()}  # slots or periods
     if not touched:
         return
@@ -130,21 +170,45 @@ def upsert(
     _write(kept.unionByName(fresh), path, [part], gather=not few)
 
 
+def _slot(keys: Sequence[str], slots: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(slots)).cast("int")
+
+
+def _slotted(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], slots: int | None
+) -> int:
+    """The number of slots of a table, which is rewritten first where another is asked for."""
+    have = _pointer(spark, path).get("slots")
+    if have is None:
+        slots = slots or SLOTS
+        _point(spark, path, version=f"v-{uuid.uuid4().hex}", slots=slots)
+    elif slots is not None and slots != have:
+        version = f"v-{uuid.uuid4().hex}"
+        rows = read_upserted(spark, path, schema).withColumn(SLOT, _slot(keys, slots))
+        _write(rows, f"{path}/{version}", [SLOT])
+        _point(spark, path, version=version, slots=slots)
+    return slots or have
+
+
 def read_upserted(
-    spark: SparkSession, path: str, schema: T.StructType, within: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    within: str | None = None,
+    may_be_empty: bool = True,
 ) -> DataFrame:
     if within is not None:
-        return read_table(spark, path, schema)
+        return read_table(spark, path, schema, may_be_empty)
     slotted = T.StructType([*schema.fields, T.StructField(SLOT, T.IntegerType())])
-    return read_table(spark, path, slotted).drop(SLOT)
+    if storage.exists(spark, path) and not storage.exists(spark, _valid(spark, path)):
+        return spark.createDataFrame([], schema)  # made, but nothing came in yet
+    return read_table(spark, path, slotted, may_be_empty).drop(SLOT)
 
 
 def publish(rows: DataFrame, path: str) -> DataFrame:
-    """Full refresh: write beside the table, then swap the folders."""
-    spark = rows.sparkSession
-    staging = f"{path}__staging-{uuid.uuid4().hex}"
-    rows.write.mode("error").parquet(staging)
-    if storage.exists(spark, path):
-        storage.remove(spark, path)
-    storage.rename(spark, staging, path)
-    return spark.read.schema(rows.schema).parquet(path)
+    """Full refresh: write a new version, then point to it in one step. A run that stops
+    before that leaves the table as it was."""
+    version = f"v-{uuid.uuid4().hex}"
+    rows.write.mode("error").parquet(f"{path}/{version}")
+    _point(rows.sparkSession, path, version=version)
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/{version}")

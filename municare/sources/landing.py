@@ -7,13 +7,21 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municare import storage
 from municare.sources.validate import EmptySource, must
 
 SOURCE_FILE = "_source_file"
+# Place of a record in its file; settles which of two equally new records came last.
+POSITION = "_position"
+
+
+def _position(row: Column) -> Column:
+    """Blocks of a file by their start, rows within."""
+    start = F.col("_metadata.file_block_start")
+    return F.struct(start.alias("block"), row.alias("row"))
 
 
 def monthly_prefix(group: str, uf: str, year: int, month: int) -> str:
@@ -37,13 +45,17 @@ def find_parts(spark: SparkSession, folder: str, prefix: str, extension: str = "
 
 
 def read_parts(spark: SparkSession, paths: list[str], extension: str = "parquet") -> DataFrame:
-    """Rows of all parts, each with the name of its file. CSV columns are read as text."""
+    """Rows of all parts, each with the name of its file and its place in it. CSV columns are
+    read as text."""
     reader = spark.read
     if extension == "csv":
         rows = reader.option("header", "true").option("inferSchema", "false").csv(paths)
+        rows = rows.na.fill("")  # an empty field is an empty text
     else:
         rows = reader.format(extension).load(paths)
-    return rows.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+    # A task reads a block from front to back, which the generated number follows.
+    place = _position(F.monotonically_increasing_id())
+    return rows.withColumns({SOURCE_FILE: F.col("_metadata.file_name"), POSITION: place})
 
 
 def read_records(
@@ -57,13 +69,16 @@ def read_records(
     """
     whole = layout != "lines"
     text = spark.read.text(path, wholetext=whole).select(
-        F.col("value"), F.col("_metadata.file_name").alias(SOURCE_FILE)
+        F.col("value"),
+        F.col("_metadata.file_name").alias(SOURCE_FILE),
+        _position(F.monotonically_increasing_id()).alias(POSITION),
     )
     return records_from_text(text.filter(F.trim("value") != ""), layout, envelope)
 
 
 def records_from_text(text: DataFrame, layout: str = "lines", envelope: str | None = None) -> DataFrame:
     """The same, from a DataFrame (value, _source_file) of JSON documents."""
+    told_place = POSITION in text.columns
     if layout == "lines":
         records = text.withColumnRenamed("value", "record")
     else:
@@ -71,9 +86,25 @@ def records_from_text(text: DataFrame, layout: str = "lines", envelope: str | No
         if layout == "envelope":
             told = F.concat(F.col(SOURCE_FILE), F.lit(f": response without '{envelope}'"))
             body = must(F.from_json("value", "map<string,string>")[envelope], told)
+        place = F.struct(F.lit(0).cast("long").alias("block"), F.col("at").cast("long").alias("row"))
         records = text.select(
-            F.explode(F.from_json(body, "array<string>")).alias("record"), SOURCE_FILE
-        )
+            F.posexplode(F.from_json(body, "array<string>")).alias("at", "record"), SOURCE_FILE
+        ).withColumn(POSITION, place)
+    kept = [SOURCE_FILE, POSITION] if told_place else [SOURCE_FILE]
     return records.select(
-        "record", F.from_json("record", "map<string,string>").alias("fields"), SOURCE_FILE
+        "record", F.from_json("record", "map<string,string>").alias("fields"), *kept
+    )
+
+
+def empty_answers(
+    spark: SparkSession, path: str, layout: str, envelope: str | None = None
+) -> DataFrame:
+    """Paths of the answers that hold no record, one per file."""
+    text = spark.read.text(path, wholetext=True)
+    body = F.col("value")
+    if layout == "envelope":
+        body = F.from_json("value", "map<string,string>")[envelope]
+    records = F.size(F.from_json(body, "array<string>"))
+    return text.filter(F.coalesce(records, F.lit(-1)) <= 0).select(
+        F.col("_metadata.file_path").alias(SOURCE_FILE)
     )

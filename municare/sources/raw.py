@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from municare.functions import digits_only, join_period, zero_pad
-from municare.sources.landing import SOURCE_FILE
+from municare.sources.landing import POSITION, SOURCE_FILE
 from municare.sources.lookups import REFERENCE_CODES
 from municare.sources.validate import must, require_columns, require_fields
 
@@ -387,16 +387,23 @@ def normalize(rows: DataFrame, table: str, scope: Mapping[str, tuple[str, ...]]
         rows = require_fields(rows, list(source.fields), table)
         every = [*source.fields, *source.optional]
         rows = rows.select(
-            *[F.col("fields")[name].alias(name) for name in every], F.col(SOURCE_FILE)
+            *[F.col("fields")[name].alias(name) for name in every],
+            *[c for c in (SOURCE_FILE, POSITION) if c in rows.columns],
         )
     else:
         require_columns(rows, list(source.fields), table)
     for name, values in wanted.items():
         rows = rows.filter(F.col(name).isin(*values))
-    origin = [SOURCE_FILE] if SOURCE_FILE in rows.columns else []
+    origin = [c for c in (SOURCE_FILE, POSITION) if c in rows.columns]
     return rows.select(*_columns(source, rows.columns), *origin)
 
 
+def place_scope(table: str, codes: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """The scope of a source with its municipalities replaced by ``codes``."""
+    declared = SOURCES[table].scope
+    return {name: tuple(codes) if values == REFERENCE_CODES else values for name, values in declared.items()}
+
+
 def _columns(source: Source, present: list[str]) -> list[Column]:
     made: dict[str, Column] = {}
     for name, column in {**source.fields, **source.optional}.items():
@@ -431,7 +438,8 @@ def territory(records: DataFrame) -> DataFrame:
     complete = require_fields(records, ["id", "nome"], table)
     # Reading ``fields`` keeps its check in the plan.
     whole = F.when(F.col("fields").isNotNull(), F.col("record"))
-    place = complete.select(F.from_json(whole, TERRITORY_SCHEMA).alias("p")).select("p.*")
+    origin = [c for c in (SOURCE_FILE, POSITION) if c in records.columns]
+    place = complete.select(F.from_json(whole, TERRITORY_SCHEMA).alias("p"), *origin).select("p.*", *origin)
     micro = F.col("microrregiao")
     state = F.when(micro.isNotNull(), micro["mesorregiao"]["UF"]).otherwise(
         F.col("`regiao-imediata`")["regiao-intermediaria"]["UF"]
@@ -453,6 +461,7 @@ def territory(records: DataFrame) -> DataFrame:
         region["id"].alias("id_regiao"),
         region["sigla"].alias("sigla_regiao"),
         region["nome"].alias("nome_regiao"),
+        *origin,
     )
 
 

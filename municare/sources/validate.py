@@ -50,6 +50,14 @@ def _lacks(fields: str, name: str) -> Column:
     return F.col(fields).isNull() | ~F.map_contains_key(F.col(fields), name)
 
 
+def value_audit(rows: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Records without a value in a column that must hold one: (column, missing), in one pass."""
+    gaps = [
+        F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("missing")) for c in required
+    ]
+    return rows.agg(F.array(*gaps).alias("gaps")).select(F.inline("gaps")).filter("missing > 0")
+
+
 def refuse(rows: DataFrame, bad: Column, message: Column | str) -> DataFrame:
     """Stop the job at the first bad row. The check rides on the pass that uses the rows, and
     the sinks commit nothing of a job that failed."""

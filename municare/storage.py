@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -36,6 +38,37 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file, or None where there is none."""
+    location, fs = _handle(spark, path)
+    if not fs.exists(location):
+        return None
+    stream = fs.open(location)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place and move it there in one step, so that a reader sees
+    the old content or the new one."""
+    jvm = spark.sparkContext._jvm
+    beside = f"{path}-{uuid.uuid4().hex}"
+    location, fs = _handle(spark, beside)
+    stream = fs.create(location, True)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    goal, _ = _handle(spark, path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        location.toUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    context.rename(location, goal, options)
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes below a path."""
     location, fs = _handle(spark, path)

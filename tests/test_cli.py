@@ -6,6 +6,7 @@ from test_intake import answer, land
 
 from municare.__main__ import main, parser
 from municare.intake import open_raw
+from municare.plans import open_marts
 
 
 def test_ingest_and_build_from_the_command_line(spark, folder):
@@ -22,7 +23,7 @@ def test_ingest_and_build_from_the_command_line(spark, folder):
           "--url", "https://x", "--partitions", json.dumps(asked)])
     assert open_raw(spark, root)["raw_siops.rreo_anexo14"].count() == 1
     main(["build", "--root", root, "--models", "mart_producao_grupo_municipio"])
-    mart = spark.read.parquet(f"{root}/marts/mart_producao_grupo_municipio")
+    mart = open_marts(spark, open_raw(spark, root), root, ["mart_producao_grupo_municipio"])["mart_producao_grupo_municipio"]
     assert mart.first().id_municipio == 3304557
 
 
