@@ -113,3 +113,34 @@ def test_guards(spark, folder):
     answer(spark, f"{folder}/one", {"items": [rec.BUDGET]})
     with pytest.raises(ValueError, match="name the partitions"):
         ingest_json(spark, f"{folder}/one", folder, "raw_siops.rreo_anexo14", "https://x")
+
+
+def test_one_empty_answer_stops_the_load_and_keeps_what_is_stored(spark, folder):
+    asked = [{"id_municipio": m, "ano_exercicio": 2025, "periodo_bimestre": 6} for m in (3304557, 3303807)]
+    table, root = "raw_siops.rreo_anexo14", f"{folder}/lake"
+    budgets = [{**rec.BUDGET}, {**rec.BUDGET}]
+    for name, rows in (("both", budgets), ("one", [budgets[0]])):
+        answer(spark, f"{folder}/{name}/a", {"items": rows})
+    ingest_json(spark, f"{folder}/both/a", root, table, "https://x", None, asked[:1])
+    answer(spark, f"{folder}/one/b", {"items": []})
+    with pytest.raises(EmptySource, match="holds no records"):
+        ingest_json(spark, f"{folder}/one/*", root, table, "https://x", None, asked)
+    assert open_raw(spark, root)[table].count() == 2
+
+
+def test_scope_missing_tables_and_missing_values(spark, folder):
+    from municare.sinks.tables import MissingTable
+
+    root, table = f"{folder}/lake", "raw_sih.internacoes"
+    place = {**rec.ADMISSION, "MUNIC_MOV": "100005"}
+    land(spark, folder, "RDRJ2503", rec.ADMISSION, {**place, "N_AIH": "7"}, {**place, "N_AIH": "8", "VAL_TOT": "2.00"})
+    ingest_file(spark, folder, root, table, "rj", 2025, 3, scope=["100005"])
+    raw = open_raw(spark, root)
+    assert sorted(r.numero_aih for r in raw[table].collect()) == ["7", "8"]
+    with pytest.raises(MissingTable):
+        raw["raw_sim.obitos"]
+    assert open_raw(spark, root, ["raw_sim.obitos"])["raw_sim.obitos"].count() == 0
+    land(spark, folder, "RDRJ2504", {**rec.ADMISSION, "N_AIH": "9"}, {**rec.ADMISSION, "VAL_TOT": None})
+    with pytest.raises(Exception, match="no value for valor_total"):
+        ingest_file(spark, folder, root, table, "rj", 2025, 4)
+    assert raw[table].count() == 2

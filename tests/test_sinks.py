@@ -195,6 +195,56 @@ def test_publish_swaps_a_table_that_feeds_its_own_refresh(spark, folder):
     assert content(publish(grown, folder)) == [(1, "a", "x"), (2, "b", "x")]
 
 
+def test_a_publish_that_stops_before_the_swap_leaves_the_table(spark, folder, monkeypatch):
+    from municare.sinks import tables
+
+    publish(rows(spark, (1, "a", "x")), folder)
+    monkeypatch.setattr(tables, "_point", lambda *a, **b: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        publish(rows(spark, (2, "b", "x")), folder)
+    monkeypatch.undo()
+    assert content(read_table(spark, folder, rows(spark, (1, "a", "x")).schema)) == [(1, "a", "x")]
+    publish(rows(spark, (3, "c", "x")), folder)
+    assert content(read_table(spark, folder, rows(spark, (1, "a", "x")).schema)) == [(3, "c", "x")]
+    versions = [n for n in storage.names(spark, folder) if n.startswith("v-")]
+    assert len(versions) == 2  # the valid one and the one before
+
+
+def test_another_number_of_slots_keeps_each_key_once(spark, folder):
+    first = spark.range(300).selectExpr("cast(id as int) as k", "'a' as v", "'x' as m")
+    upsert(first, folder, ["k"], ["m"], slots=8)
+    for slots, v in ((16, "b"), (None, "c"), (4, "d")):
+        upsert(first.filter("k < 5").withColumn("v", F.lit(v)), folder, ["k"], ["m"], slots=slots)
+        stored = read_upserted(spark, folder, first.schema)
+        assert content(stored.groupBy("v").count()) == [("a", 295), (v, 5)]
+
+
+def test_place_in_the_load_settles_equal_stamps(spark, folder):
+    batch = spark.range(200).selectExpr("cast(id % 100 as int) as k", "cast(id as string) as v", "'x' as m", "id as at")
+    upsert(batch, folder, ["k"], ["m"], slots=4, order_only=["at"])
+    stored = read_upserted(spark, folder, batch.drop("at").schema)
+    assert stored.count() == 100 and stored.filter("cast(v as int) < 100").count() == 0
+
+
+def test_a_table_never_written_can_be_an_error(spark, folder):
+    from municare.sinks.tables import MissingTable
+
+    shape = rows(spark, (1, "a", "x")).schema
+    assert read_table(spark, f"{folder}/none", shape).count() == 0
+    for read in (read_table, read_upserted):
+        with pytest.raises(MissingTable, match="none"):
+            read(spark, f"{folder}/none", shape, may_be_empty=False)
+
+
+def test_an_absent_bootstrap_period_changes_nothing(spark, folder):
+    source = rows(spark, ("a", 1, DAY[1]), ("b", 2, DAY[0]), shape=STAMPED)
+    column = source.columns[0]
+    refresh_incremental(source, folder, lambda r: r, column, loaded_at=source.columns[2], only="a")
+    without = source.filter(F.col(column) != "a")
+    assert refresh_incremental(without, folder, lambda r: r, column, loaded_at=source.columns[2], only="a") == []
+    assert read_table(spark, folder, source.schema).count() == 1
+
+
 def test_landing_stream_completes_a_period_in_two_visits(spark, folder):
     schema = rows(spark, (1, "a", "x")).schema
 
