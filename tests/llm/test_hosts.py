@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from municare.llm import hosts
 
 PAGES = "page_id long, url string, html string, host int, n int, bad int"
@@ -61,6 +63,33 @@ def test_reputation_shrinks_towards_the_levels_above(spark):
     assert all(r["bad_low"] <= r["bad_rate"] for r in by_host.values())
 
 
+def test_registered_domains(spark):
+    want = {
+        "www.bbc.co.uk": ("bbc.co.uk", "co.uk"), "news.bbc.co.uk:80": ("bbc.co.uk", "co.uk"), "bbc.co.uk.": ("bbc.co.uk", "co.uk"),
+        "co.uk": ("co.uk", "co.uk"), "saude.gov.br": ("saude.gov.br", "gov.br"), "u:p@a.b.abc.net.au": ("abc.net.au", "net.au"),
+        "a.b.example.com": ("example.com", "com"), "x.uk": ("x.uk", "uk"), "localhost": ("localhost", "localhost"), "": ("", ""),
+        "10.0.1.2": ("10.0.1.2", "10.0.1.2"), "192.168.1.2:8080": ("192.168.1.2", "192.168.1.2"),
+        "[2001:db8::1]:80": ("[2001:db8::1]", "[2001:db8::1]"), "1.2.3.4.com": ("4.com", "com"),
+    }
+    rows = spark.createDataFrame([(h,) for h in want], "host string").withColumn("domain", hosts.domain_of(F.col("host")))
+    got = {r["host"]: (r["domain"], r["suffix"]) for r in rows.withColumn("suffix", hosts.suffix_of(F.col("domain"))).collect()}
+    assert got == want
+
+
+def test_sites_under_one_public_suffix_inform_only_their_own_hosts(spark):
+    urls, outcomes = [], []
+    for host, bad in (("www.spam.co.uk", 58), ("www.bbc.co.uk", 2), ("1.1.7.7", 58), ("2.2.7.7", 2), ("a.fine.net", 2), ("b.good.net", 1)):
+        for k in range(60):
+            outcomes.append((len(urls), int(k < bad)))
+            urls.append((len(urls), f"http://{host}/{k}"))
+    urls += [(1000, "http://news.bbc.co.uk/"), (1001, "http://m.spam.co.uk/"), (1002, "http://3.3.7.7/")]
+    rate = {r["host"]: r["bad_rate"] for r in judged(spark, urls, outcomes).values()}
+    overall = sum(b for _, b in outcomes) / len(outcomes)
+    assert rate["news.bbc.co.uk"] < overall < rate["m.spam.co.uk"]
+    assert rate["news.bbc.co.uk"] < rate["m.spam.co.uk"] - 0.1
+    assert abs(rate["3.3.7.7"] - overall) < 1e-9
+
+
 def test_no_rows(spark):
     assert judged(spark, []) == {}
 
