@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from municare.llm import bpe, lines, minhash, mixing, trees
 from municare.llm.common import stored, table
@@ -29,10 +30,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    judged = minhash.near_duplicates(docs)
-    dropped = judged.filter("not kept").select(judged["doc_id"].alias("__doc")).distinct()
-    # One plan at every size: texts and decisions meet by a sorted merge.
-    return docs.join(dropped.hint("merge"), docs["doc_id"] == dropped["__doc"], "left_anti")
+    judged = minhash.judged(docs)
+    dropped = judged.filter("not kept").select(judged["doc_id"].alias("__doc"), "__text_key").distinct()
+    # An id may repeat with another text. One plan at every size: texts and decisions meet by a sorted merge.
+    same = (docs["doc_id"] == dropped["__doc"]) & (F.xxhash64(docs["text"]) == dropped["__text_key"])
+    return docs.join(dropped.hint("merge"), same, "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,7 +80,9 @@ def _classes(vectors: DataFrame, id: str, column: str) -> tuple[DataFrame, DataF
     rows = vectors.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{column}`").cast("array<double>").alias("v"))
     rows = stored(rows.mapInArrow(keyed, f"__id {kind}, key binary, unit binary"), "vectors")
     classes = rows.filter("key is not null and __id is not null").groupBy("key", "unit")
-    classes = classes.agg(F.min("__id").alias("node"), F.count(F.lit(1)).alias("copies"))
+    classes = classes.agg(F.min("__id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    # A class is a node by a number of its own, as an id may repeat with other vectors.
+    classes = classes.withColumn("node", F.monotonically_increasing_id())
     return rows.select("__id", "key"), stored(classes, "classes")
 
 
@@ -90,7 +92,9 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", column: str = "embed
     Links are pairs of rows whose cosine in double precision is at least ``cosine``. Vectors
     that are null, empty, zero or hold null or non-finite components link with nothing, as do
     rows without an id (component null, kept). A shorter vector is compared as if filled up
-    with zeros. Rows that repeat an id and a vector are linked copies; other columns are not read.
+    with zeros. Rows that repeat an id and a vector are linked copies; rows that repeat an id with
+    other vectors are vectors of their own, and a component has the name of its smallest id and
+    keeps one class of equal directions. Other columns are not read.
     """
     reach = math.acos(cosine)
     rows, classes = _classes(vectors, id, column)
@@ -102,7 +106,6 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", column: str = "embed
     if not picked:
         return _unlinked(rows, id)
     pivots = context.broadcast(_matrix([bytes(r["unit"]) for r in picked], width))
-    kind = classes.schema["node"].dataType.simpleString()
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Cell 2j holds the core of pivot j, cell 2j + 1 the rest of its vectors."""
@@ -114,7 +117,7 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", column: str = "embed
             columns = [*batch.columns, pa.array(cell, pa.int64()), pa.array(angle)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "cell", "angle"])
 
-    base = f"node {kind}, copies bigint, unit binary, cell bigint, angle double"
+    base = "node bigint, copies bigint, unit binary, cell bigint, angle double"
     homes = stored(classes.select("node", "copies", "unit").mapInArrow(placed, base), "homes")
     cells = homes.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"),
@@ -204,7 +207,7 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", column: str = "embed
         some = np.flatnonzero(links > 0)
         return pd.DataFrame({"node": nodes[some], "links": links[some], "other": nodes[label[some]]})
 
-    found = meetings.groupBy("cell", "home", "guest").applyInPandas(joined, f"node {kind}, links bigint, other {kind}")
+    found = meetings.groupBy("cell", "home", "guest").applyInPandas(joined, "node bigint, links bigint, other bigint")
     found = stored(found, "found")
     core = homes.filter("cell % 2 = 0").select("node", "cell").join(F.broadcast(cells.select("cell", "all_copies", "low")), "cell")
     chains = found.select(F.col("node").alias("a"), F.col("other").alias("b"))
@@ -214,8 +217,13 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", column: str = "embed
     near = classes.select("node", (F.col("copies") - 1).alias("links"))
     near = near.join(core.select("node"), "node", "left_anti").union(core.select("node", F.col("all_copies") - 1))
     total = near.union(found.select("node", "links")).groupBy("node").agg(F.sum("links").alias("links"))
-    facts = classes.select("key", "node").join(total, "node").join(groups, "node", "left")
-    facts = facts.select(F.col("key").alias("__class"), "links", F.coalesce("component", "node").alias("component"))
+    facts = classes.select("key", "node", "id").join(total, "node").join(groups, "node", "left")
+    facts = stored(facts.withColumn("component", F.coalesce("component", "node")), "facts")
+    least = facts.groupBy(F.col("component").alias("__component")).agg(F.min(F.struct("id", "key")).alias("least"))
+    facts = facts.join(stored(least, "least"), F.col("component") == F.col("__component"))
+    facts = facts.select(
+        F.col("key").alias("__class"), "links", F.col("least.id").alias("component"), F.col("least.key").alias("first")
+    )
     facts = stored(facts, "facts")
     linked = rows.join(facts, (F.col("key") == F.col("__class")) & F.col("__id").isNotNull(), "left")
     return _named(linked, id)
@@ -227,10 +235,10 @@ def _named(rows: DataFrame, id: str) -> DataFrame:
         F.col("__id").alias(id),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
-        F.col("__id").eqNullSafe(component).alias("kept"),
+        (F.col("__id").eqNullSafe(component) & F.coalesce(F.col("key") == F.col("first"), F.lit(True))).alias("kept"),
     )
 
 
 def _unlinked(rows: DataFrame, id: str) -> DataFrame:
     none = F.lit(None).cast("long")
-    return _named(rows.withColumn("links", none).withColumn("component", F.col("__id")), id)
+    return _named(rows.withColumn("links", none).withColumn("component", F.col("__id")).withColumn("first", F.col("key")), id)

@@ -95,20 +95,21 @@ def _sets(texts) -> dict[str, pa.Array]:
 
 
 def _full_sets(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(__id, __set) of the classes in ``nodes``, made from whole texts."""
-    wanted = stored(classes.select("node", F.col("__key").alias("key")).join(nodes, "node"), "wanted")
+    """(node, __set) of the classes in ``nodes``, made from whole texts."""
+    wanted = classes.select("node", F.col("id").alias("of"), F.col("__key").alias("key"))
+    wanted = stored(wanted.join(nodes, "node"), "wanted")
     # One plan at every size: texts and classes meet by a sorted merge.
-    texts = documents.join(wanted.hint("merge"), F.col("__id") == F.col("node"), "left_semi")
+    texts = documents.join(wanted.hint("merge"), F.col("__id") == F.col("of"), "left_semi")
     sets = map_texts(texts, ["__id"], "__text", _sets, "__set array<bigint>, __key binary")
-    # An id may repeat, with the same text or with others; one set of the class is enough.
-    sets = sets.join(wanted, (F.col("__id") == F.col("node")) & (F.col("__key") == F.col("key")), "left_semi")
-    return stored(sets.dropDuplicates(["__id"]).select("__id", "__set"), "sets")
+    # An id may repeat with the same set, of which one is enough, or with others, which are nodes of their own.
+    sets = sets.join(wanted, (F.col("__id") == F.col("of")) & (F.col("__key") == F.col("key")))
+    return stored(sets.dropDuplicates(["node"]).select("node", "__set"), "sets")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b, a_size, b_size) of a stored table with ``shared``, stored."""
-    left = sets.select(F.col("__id").alias("a"), F.col("__set").alias("__left"))
-    right = sets.select(F.col("__id").alias("b"), F.col("__set").alias("__right"))
+    left = sets.select(F.col("node").alias("a"), F.col("__set").alias("__left"))
+    right = sets.select(F.col("node").alias("b"), F.col("__set").alias("__right"))
     joined = pairs.join(right, "b").join(left, "a")
     joined = joined.withColumn("shared", F.size(F.array_intersect("__left", "__right")).cast("long"))
     return stored(joined.drop("__left", "__right"), "compared")
@@ -139,7 +140,8 @@ def _listed(groups: DataFrame, key: list[str], percent: int, first: Column | Non
     ordered = [
         F.when(swap, col(f"y_{c}")).otherwise(col(f"x_{c}")).alias(f"a{n}") for c, n in (("node", ""), ("size", "_size"))
     ] + [F.when(swap, col(f"x_{c}")).otherwise(col(f"y_{c}")).alias(f"b{n}") for c, n in (("node", ""), ("size", "_size"))]
-    return pairs.select(*ordered).distinct()
+    # The order of _with_hub, as unions go by position.
+    return pairs.select(*ordered).select("a", "b", "a_size", "b_size").distinct()
 
 
 def _still_apart(groups: DataFrame, key: list[str], found: DataFrame) -> DataFrame:
@@ -167,38 +169,61 @@ def near_duplicates(
 
     Texts that are null, empty or without words have no shingles and are their own component.
     Rows without an id take part in no link: component_id null, kept true. Rows that repeat an
-    id and its text are copies of one document and all kept. Other columns are not read.
+    id and its shingles are copies of one document and kept or dropped together. Rows that
+    repeat an id with other shingles are documents of their own; a component has the name of its
+    smallest id and keeps one set of shingles. Other columns are not read.
     """
+    return judged(documents, id, text, bands, rows, percent).drop("__text_key")
+
+
+def judged(
+    documents: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    bands: int = BANDS,
+    rows: int = ROWS,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """``near_duplicates`` with ``__text_key``, the xxhash64 of the text of the row."""
     slim = documents.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
     signed = map_texts(
-        slim, ["__id"], "__text", lambda t: _signed(t, bands, rows),
+        slim.withColumn("__text_key", F.xxhash64("__text")), ["__id", "__text_key"], "__text", lambda t: _signed(t, bands, rows),
         "__n bigint, __key binary, __bands array<bigint>",
     )
     signed = stored(signed, "signed")
     # The partial minimum leaves one row per class and task before the shuffle.
     classes = signed.filter("__id is not null and __key is not null").groupBy("__key")
     classes = classes.agg(
-        F.min("__id").alias("node"),
+        F.min("__id").alias("id"),
         F.max("__n").alias("__size"),
         F.min_by("__bands", "__id").alias("__bands"),
     )
-    classes = stored(classes, "classes")
+    # A class is a node by a number of its own, as an id may repeat with other texts.
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     members = classes.select(F.explode("__bands").alias("band"), "node", F.col("__size").alias("size"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    # A class joins its bands once per repeated id only; buckets of one class end here.
+    # Buckets of one class end here.
     buckets = stored(members.join(stored(shared, "shared"), "band"), "buckets")
 
     found = components(_links(buckets, slim, classes, percent))
 
-    named = classes.select(F.col("__key").alias("__class"), "node").join(found, "node", "left")
-    named = stored(named.select("__class", F.coalesce("component", "node").alias("__component")), "named")
-    result = signed.join(named, F.col("__key") == F.col("__class"), "left")
+    linked = stored(found.join(classes.select("node", "id", "__key"), "node"), "linked")
+    least = linked.groupBy("component").agg(F.min(F.struct("id", F.col("__key").alias("key"))).alias("least"))
+    linked = linked.join(stored(least, "least"), "component").select(F.col("node").alias("__node"), "least")
+    named = classes.join(stored(linked, "named"), F.col("node") == F.col("__node"), "left").select(
+        F.col("__key").alias("__class"),
+        F.coalesce("least.id", "id").alias("__component"),
+        F.coalesce("least.key", "__key").alias("__first"),
+    )
+    result = signed.join(stored(named, "named"), F.col("__key") == F.col("__class"), "left")
     component = F.when(F.col("__id").isNotNull(), F.coalesce("__component", "__id"))
+    first = F.col("__id").isNull() | F.col("__key").eqNullSafe(F.col("__first"))
     return result.select(
         F.col("__id").alias(id),
         F.col("__n").alias("n_shingles"),
         component.alias("component_id"),
-        F.col("__id").eqNullSafe(component).alias("kept"),
+        (F.col("__id").eqNullSafe(component) & first).alias("kept"),
+        "__text_key",
     )
 
 
@@ -226,8 +251,8 @@ def _links(buckets: DataFrame, documents: DataFrame, classes: DataFrame, percent
     # hub, or one of the two would be similar to the hub whenever the pair is.
     rest = rest.union(_listed(large, ["hub"], percent, F.col("size") < F.col("hub_size"), foreign=False))
 
-    foreign = large.join(sets.select(F.col("__id").alias("node"), F.col("__set").alias("own")), "node")
-    foreign = foreign.join(sets.select(F.col("__id").alias("hub"), F.col("__set").alias("hubs")), "hub")
+    foreign = large.join(sets.select("node", F.col("__set").alias("own")), "node")
+    foreign = foreign.join(sets.select(F.col("node").alias("hub"), F.col("__set").alias("hubs")), "hub")
     foreign = foreign.withColumn("shingle", F.explode(F.array_except("own", "hubs"))).drop("own", "hubs", "n", "outside")
     foreign = stored(foreign, "foreign")
     key = ["hub", "shingle"]

@@ -63,3 +63,11 @@ def test_no_rows(spark):
     assert embed.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     none = spark.createDataFrame([(1, None, 1, 0, 0, "")], SCHEMA)
     assert [tuple(r) for r in embed.near_duplicates(none).collect()] == [(1, 0, 1, True)]
+
+
+def test_ids_that_repeat_with_other_vectors(spark):
+    vectors = [(1, [1.0, 0.0, 0.0]), (1, [0.99, 0.1, 0.0]), (2, [0.99, 0.0, 0.1]), (1, [0.0, 1.0, 0.0]), (3, [0.0, 0.99, 0.1]), (4, [0.0, 0.0, 1.0])]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embed.near_duplicates(frame).collect())
+    assert [r[:3] for r in got] == [(1, 1, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 1, 1), (4, 0, 4)]
+    assert sorted(r[3] for r in got if r[0] == 1) == [False, True, True] and [r[3] for r in got[3:]] == [False, False, True]

@@ -94,3 +94,19 @@ def test_components_of_chains_stars_and_no_links(spark):
     want = {i: 100 for i in range(100, 161)} | {k: 5 for k in range(10, 40)} | {5: 5, 41: 5}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_ids_that_repeat_with_other_texts(spark, documents):
+    import corpus_pipeline
+
+    texts = {n: " ".join(f"{n}{k}" for k in range(80)) for n in "abc"}
+    near = {n: t + " tail" for n, t in texts.items()}
+    rows = [(5, texts["a"]), (5, texts["b"]), (5, texts["b"]), (7, near["a"]), (8, near["b"]), (1, texts["c"]), (7, near["c"]), (9, near["b"] + " x")]
+    want = [(1, 1, True), (5, 5, True), (5, 5, True), (5, 5, True), (7, 1, False), (7, 5, False), (8, 5, False), (9, 5, False)]
+    got = minhash.near_duplicates(documents(rows)).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == want
+    # A clean text stays beside a duplicate of the same id; of two near copies under one id one stays.
+    docs = documents([(1, texts["a"]), (3, near["a"]), (3, texts["b"]), (4, texts["c"]), (4, near["c"]), (None, texts["a"])])
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert {(1, texts["a"]), (3, texts["b"]), (None, texts["a"])} < set(left) and len(left) == 4
+    assert [i for i, t in left if t in (texts["c"], near["c"])] == [4]
