@@ -143,7 +143,9 @@ def ingest_json(
     """Load saved API answers into their raw table. Tables that replace need ``partitions``,
     the municipality and period that were asked for."""
     if table == "raw_ibge.populacao_estimada":
-        rows = population(spark.read.text(path, wholetext=True))
+        answers = spark.read.text(path, wholetext=True)
+        answers = answers.select("value", F.col("_metadata.file_name").alias(SOURCE_FILE))
+        rows = population(answers, keep_place=True)
     else:
         # One empty answer among several would otherwise wipe what was stored for it.
         empty = empty_answers(spark, path, *JSON_LAYOUTS[table]).first()
@@ -152,7 +154,8 @@ def ingest_json(
         records = require_rows(read_records(spark, path, *JSON_LAYOUTS[table]), table)
         if table in PAGE_LIMITS:
             reject_full_pages(records, PAGE_LIMITS[table], table)
-        rows = territory(records) if table == "raw_ibge.municipios" else normalize(records, table)
+        territorial = table == "raw_ibge.municipios"
+        rows = territory(records, keep_place=True) if territorial else normalize(records, table)
     stamped = provenance(
         rows, url, year, loaded_at=_now(spark), source_column="_source_url"
     )

@@ -431,14 +431,15 @@ TERRITORY_SCHEMA = """
 """
 
 
-def territory(records: DataFrame) -> DataFrame:
+def territory(records: DataFrame, keep_place: bool = False) -> DataFrame:
     """Municipality documents to flat rows. A municipality without a micro-region takes its
-    state from the immediate region and has no micro and meso region."""
+    state from the immediate region and has no micro and meso region. ``keep_place`` adds the
+    file and the place in it, which a load needs to tell the last record of a key."""
     table = "raw_ibge.municipios"
     complete = require_fields(records, ["id", "nome"], table)
     # Reading ``fields`` keeps its check in the plan.
     whole = F.when(F.col("fields").isNotNull(), F.col("record"))
-    origin = [c for c in (SOURCE_FILE, POSITION) if c in records.columns]
+    origin = [c for c in (SOURCE_FILE, POSITION) if keep_place and c in records.columns]
     place = complete.select(F.from_json(whole, TERRITORY_SCHEMA).alias("p"), *origin).select("p.*", *origin)
     micro = F.col("microrregiao")
     state = F.when(micro.isNotNull(), micro["mesorregiao"]["UF"]).otherwise(
@@ -471,15 +472,20 @@ POPULATION_SCHEMA = """
 """
 
 
-def population(documents: DataFrame) -> DataFrame:
+def population(documents: DataFrame, keep_place: bool = False) -> DataFrame:
     """Population documents (value) to one row per place: the first variable, its first
-    result, and the first year of each series."""
+    result, and the first year of each series. ``keep_place`` adds the file (of documents that
+    carry ``_source_file``) and the place in it, as for ``territory``."""
     table = "raw_ibge.populacao_estimada"
     body = F.from_json("value", " ".join(POPULATION_SCHEMA.split()))
     series = F.try_element_at(F.try_element_at(body, F.lit(1))["resultados"], F.lit(1))["series"]
     found = must(series, f"{table}: resultados[0].series unresolved")
     point = F.try_element_at(F.map_entries("s.serie"), F.lit(1))
-    places = documents.select(F.explode(found).alias("s")).select(
+    named = [SOURCE_FILE] if keep_place and SOURCE_FILE in documents.columns else []
+    row = F.struct(F.lit(0).cast("long").alias("block"), F.col("at").cast("long").alias("row"))
+    origin = [*named, *([row.alias(POSITION)] if keep_place else [])]
+    places = documents.select(F.posexplode(found).alias("at", "s"), *named).select(
+        *origin,
         must(F.col("s.localidade.id"), f"{table}: localidade.id unresolved").alias("id"),
         F.col("s.localidade.nome").alias("nome"),
         must(point, f"{table}: empty serie").alias("point"),
@@ -489,6 +495,7 @@ def population(documents: DataFrame) -> DataFrame:
         F.col("nome").alias("nome_municipio"),
         F.col("point.key").cast("int").alias("ano_referencia"),
         F.col("point.value").cast("bigint").alias("populacao_estimada"),
+        *[c for c in places.columns if c in (SOURCE_FILE, POSITION)],
     )
 
 
