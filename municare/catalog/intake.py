@@ -40,20 +40,14 @@ def facility_file(spark: SparkSession, folder: str) -> DataFrame:
 OTHERS = [c for i in range(27) if (c := str(100000 + i)) not in REFERENCE_CODES][5:7]
 
 
-def _land(spark: SparkSession, rows: DataFrame, landing: str, name: str) -> None:
-    """Rows as one Parquet file of this name in a landing folder."""
-    beside = shared_folder(spark, "part")
-    rows.coalesce(1).write.parquet(beside)
-    part = next(n for n in storage.names(spark, beside) if n.endswith(".parquet"))
-    storage.rename(spark, f"{beside}/{part}", f"{landing}/{name}")
-
-
 def _landing(spark: SparkSession, rows: DataFrame, *names: str) -> str:
-    """A landing folder whose files share the rows."""
+    """A landing folder with the rows as files of these names: they are written once, by the usual
+    tasks, and the files that come out are given the names."""
     landing = shared_folder(spark, "landing")
-    rows.limit(0).write.parquet(landing)
-    for i, name in enumerate(names):
-        _land(spark, rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(len(names))) == i), landing, name)
+    rows.repartition(len(names), F.xxhash64(*rows.columns)).write.parquet(landing)
+    files = [n for n in storage.names(spark, landing) if n.endswith(".parquet")]
+    for file, name in zip(files, names, strict=True):
+        storage.rename(spark, f"{landing}/{file}", f"{landing}/{name}")
     return landing
 
 
@@ -80,12 +74,12 @@ def ingest_other_municipalities(spark: SparkSession, folder: str) -> DataFrame:
     """
 select '202501' as competencia_arquivo, strftime(l_shipdate, '%Y%m') as competencia, 3 as files,
     count(*) as n, cast(sum(cast(l_quantity as int)) as bigint) as q
-from lineitem where month(l_shipdate) < 7 group by 2""",
+from lineitem group by 2""",
 )
 def ingest_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Production landed in three parts; every part is found, tagged and read once, late
     periods included, and loading again replaces the arrival."""
-    rows = landed.production_file(spark, folder).filter("substr(PA_CMP, 5, 2) < '07'")
+    rows = landed.production_file(spark, folder)
     landing = _landing(spark, rows, "PARJ2501a.parquet", "parj2501B.parquet", "PARJ2501c.parquet")
     root, name = shared_folder(spark, "lake"), "raw_sia.producao_ambulatorial"
     for _ in range(2):

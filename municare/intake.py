@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from municare.functions import period_month, period_year
 from municare.schemas import RAW_SCHEMAS, not_null, raw_schema
-from municare.sinks import read_table, read_upserted, replace_partitions, table_path, upsert
+from municare.sinks import loads, read_table, read_upserted, replace_partitions, table_path, upsert
 from municare.sources import (
     annual_prefix,
     find_parts,
@@ -18,14 +18,13 @@ from municare.sources import (
     normalize,
     provenance,
     read_parts,
-    read_records,
-    reject_full_pages,
     require_rows,
 )
-from municare.sources.landing import POSITION, SOURCE_FILE, empty_answers
+from municare.sources.landing import POSITION, SOURCE_FILE, watched_records
+from municare.sinks.tables import Guard
 from municare.sources.lookups import REFERENCE_CODES
 from municare.sources.raw import SOURCES, facility_counts, place_scope, population, territory
-from municare.sources.validate import EmptySource, refuse
+from municare.sources.validate import watch_rows, watch_values
 
 # File group of each register, how its API answers are wrapped, page limits.
 FILE_GROUPS = {
@@ -64,31 +63,42 @@ def raw_path(root: str, table: str) -> str:
     return table_path(root, *table.split("."))
 
 
-def _upsert(rows: DataFrame, root: str, table: str) -> None:
+def _upsert(rows: DataFrame, root: str, table: str, guard: Guard | None = None) -> None:
     """The last record of a key wins: by load time, then file, then place in the file."""
     names = raw_schema(table).names
     place = [c for c in (SOURCE_FILE, POSITION) if c in rows.columns and c not in names]
+    whole, complete = watch_values(rows, not_null(table), table)
     upsert(
-        _checked(rows, table).select(*names, *place),
+        whole.select(*names, *place),
         raw_path(root, table),
         UPSERT_KEYS[table],
         within=PERIOD_IN_KEY.get(table),
         order_only=place,
+        guard=_all(guard, complete),
     )
 
 
-def _checked(rows: DataFrame, table: str) -> DataFrame:
-    """Stop at a record that lacks a value its table must have."""
-    missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in not_null(table)]), lambda c: c.isNotNull())
-    told = F.concat(F.lit(f"{table}: no value for "), F.array_join(missing, ", "))
-    return refuse(rows, F.size(missing) > 0, told)
-
-
 def _replace(
-    rows: DataFrame, root: str, table: str, partitions: Sequence[Mapping[str, object]]
+    rows: DataFrame,
+    root: str,
+    table: str,
+    partitions: Sequence[Mapping[str, object]],
+    guard: Guard | None = None,
 ) -> None:
-    ordered = _checked(rows, table).select(*raw_schema(table).names)
-    replace_partitions(ordered, raw_path(root, table), partitions)
+    whole, complete = watch_values(rows, not_null(table), table)
+    ordered = whole.select(*raw_schema(table).names)
+    replace_partitions(ordered, raw_path(root, table), partitions, guard=_all(guard, complete))
+
+
+def _all(*guards: Guard | None) -> Guard:
+    """One guard that calls each in turn."""
+
+    def call() -> None:
+        for guard in guards:
+            if guard is not None:
+                guard()
+
+    return call
 
 
 def ingest_file(
@@ -110,25 +120,26 @@ def ingest_file(
     """
     group = FILE_GROUPS[table]
     name = annual_prefix(group, uf, year) if month is None else monthly_prefix(group, uf, year, month)
-    landed = require_rows(read_parts(spark, find_parts(spark, landing, name, extension), extension), name)
+    parts = read_parts(spark, find_parts(spark, landing, name, extension), extension)
+    landed, guard = watch_rows(parts, name)
     stamp = partial(provenance, loaded_at=_now(spark))
     if table == "raw_cnes.rede_porte_municipio":
-        periods = [r[0] for r in landed.select("COMPETEN").distinct().collect()]  # one per file
-        _replace(stamp(facility_counts(landed), source=name), root, table,
-                 [{"competencia": p} for p in periods])
+        counts = facility_counts(require_rows(parts, name))
+        periods = [r[0] for r in counts.select("competencia").distinct().collect()]  # one per file
+        _replace(stamp(counts, source=name), root, table, [{"competencia": p} for p in periods])
         return
     rows = normalize(landed, table, place_scope(table, scope))
     if table == "raw_sia.producao_ambulatorial":
         arrival = f"{year}{month:02d}"
         stamped = stamp(rows, year=period_year("competencia"), month=period_month("competencia"))
         _replace(stamped.withColumn("competencia_arquivo", F.lit(arrival)), root, table,
-                 [{"competencia_arquivo": arrival}])
+                 [{"competencia_arquivo": arrival}], guard)
     elif SOURCES[table].write == "replace":
         place = SOURCES[table].keys[1]
         _replace(stamp(rows, year=year), root, table,
-                 [{"_reference_year": year, place: code} for code in scope])
+                 [{"_reference_year": year, place: code} for code in scope], guard)
     else:
-        _upsert(stamp(rows, year=year, month=month), root, table)
+        _upsert(stamp(rows, year=year, month=month), root, table, guard)
 
 
 def ingest_json(
@@ -142,29 +153,25 @@ def ingest_json(
 ) -> None:
     """Load saved API answers into their raw table. Tables that replace need ``partitions``,
     the municipality and period that were asked for."""
+    if table not in UPSERT_KEYS and not partitions:
+        raise ValueError(f"{table} is replaced by partition: name the partitions")
+    guard = None
     if table == "raw_ibge.populacao_estimada":
         answers = spark.read.text(path, wholetext=True)
         answers = answers.select("value", F.col("_metadata.file_name").alias(SOURCE_FILE))
         rows = population(answers, keep_place=True)
     else:
-        # One empty answer among several would otherwise wipe what was stored for it.
-        empty = empty_answers(spark, path, *JSON_LAYOUTS[table]).first()
-        if empty is not None:
-            raise EmptySource(f"{table}: {empty[SOURCE_FILE]} holds no records")
-        records = require_rows(read_records(spark, path, *JSON_LAYOUTS[table]), table)
-        if table in PAGE_LIMITS:
-            reject_full_pages(records, PAGE_LIMITS[table], table)
+        layout = JSON_LAYOUTS[table]
+        records, guard = watched_records(spark, path, *layout, PAGE_LIMITS.get(table), table)
         territorial = table == "raw_ibge.municipios"
         rows = territory(records, keep_place=True) if territorial else normalize(records, table)
     stamped = provenance(
         rows, url, year, loaded_at=_now(spark), source_column="_source_url"
     )
     if table in UPSERT_KEYS:
-        _upsert(stamped, root, table)
+        _upsert(stamped, root, table, guard)
     else:
-        if not partitions:
-            raise ValueError(f"{table} is replaced by partition: name the partitions")
-        _replace(stamped, root, table, partitions)
+        _replace(stamped, root, table, partitions, guard)
 
 
 def _now(spark: SparkSession) -> Column:
@@ -185,6 +192,11 @@ class RawTables(Mapping[str, DataFrame]):
             return read_upserted(self._spark, path, schema, PERIOD_IN_KEY.get(name), empty)
         return read_table(self._spark, path, schema, empty)
 
+    def ledger(self, name: str, partition: str) -> dict[object, int | None]:
+        """Newest load of each partition of a table that is replaced by partition; reads no rows."""
+        path, kind = raw_path(self._root, name), raw_schema(name)[partition].dataType
+        return {value: part.newest for value, part in loads(self._spark, path, partition, kind).items()}
+
     def __contains__(self, name: object) -> bool:
         return name in RAW_SCHEMAS
 

@@ -12,7 +12,8 @@ from municare.operators.lookup import (
     role_lookup,
 )
 from municare.operators.merge import keep_other_partitions, upsert_rows
-from municare.operators.ranges import range_lookup, resolve_codes
+from municare.operators.order import running_max_before, running_sum
+from municare.operators.ranges import overlapping, range_lookup, resolve_codes, sweep_lookup
 from municare.operators.skew import join_facts_back, spread_lookup
 
 __all__ = [
@@ -27,12 +28,16 @@ __all__ = [
     "ledger_entries",
     "left_lookup",
     "membership_flag",
+    "overlapping",
     "presence_status",
     "range_lookup",
     "resolve_codes",
     "role_lookup",
     "rule",
+    "running_max_before",
+    "running_sum",
     "spread_lookup",
+    "sweep_lookup",
     "union_ledgers",
     "upsert_rows",
 ]

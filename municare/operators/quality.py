@@ -7,8 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from municare.functions import count_where
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -50,37 +49,78 @@ def _row_failure(check: Check) -> Column:
 
 
 def run(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(model, column, test, severity, failures), one row per check.
-
-    Row-level checks of a model share one pass over it; failures count rows for not_null,
+    """(model, column, test, severity, failures), one row per check; failures count rows for not_null,
     accepted_values and relationships, and repeated values for unique.
+
+    Every model is read once. Its rows give one entry (number, value) for each checked or
+    referenced column that has a value, and one for each row check that fails; the entries of all
+    models are counted in one aggregation, whose partial counts a hot value crosses the shuffle in.
+    What holds a value, child or parent, then meets at that value, with at most one count
+    per column.
     """
-    by_model: dict[str, list[Check]] = {}
-    for check in checks:
-        by_model.setdefault(check.model, []).append(check)
-    results = []
-    for name, asked in by_model.items():
-        table = tables[name]
-        simple = [c for c in asked if c.test in ("not_null", "accepted_values")]
-        if simple:
-            outcome = [
-                F.struct(
-                    *_head(c), count_where(_row_failure(c)).cast("bigint").alias("failures")
-                )
-                for c in simple
-            ]
-            results.append(table.agg(F.array(*outcome).alias("o")).select(F.inline("o")))
-        for c in asked:
-            if c.test == "unique":
-                found = unique_failures(table, c.column).agg(F.count("*").alias("failures"))
-            elif c.test == "relationships":
-                found = orphans(table, c.column, tables[c.parent], c.parent_column).agg(
-                    F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failures")
-                )
-            else:
-                continue
-            results.append(found.select(*_head(c), "failures"))
-    return _union(results)
+    if not checks:
+        return tables[next(iter(tables))].sparkSession.createDataFrame([], _RESULT)
+    spark = tables[checks[0].model].sparkSession
+    numbers: dict[tuple[str, str], int] = {}  # columns whose values are counted
+    rules: list[tuple] = []
+    entries: dict[str, list[Column]] = {}
+
+    def number(model: str, column: str, like: T.DataType | None = None) -> int:
+        """Number of a column. A child is counted in the type of its parent, so that equal values
+        of other types meet."""
+        key = (model, column, like.simpleString() if like else "")
+        if key not in numbers:
+            numbers[key] = len(numbers) + 1
+            entry = F.struct(F.lit(numbers[key]).alias("no"), _as_text(tables[model], column, like).alias("value"))
+            entries.setdefault(model, []).append(F.when(F.col(f"`{column}`").isNotNull(), entry))
+        return numbers[key]
+
+    for place, c in enumerate(checks):
+        above = None
+        if c.test == "unique":
+            no = number(c.model, c.column)
+        elif c.test == "relationships":
+            above = number(c.parent, c.parent_column)
+            kind = tables[c.parent].schema[c.parent_column].dataType
+            no = number(c.model, c.column, None if kind == tables[c.model].schema[c.column].dataType else kind)
+        else:
+            no = -place - 1
+            failed = F.struct(F.lit(no).alias("no"), F.lit("").alias("value"))
+            entries.setdefault(c.model, []).append(F.when(_row_failure(c), failed))
+        rules.append((place, c.model, c.column, c.test, c.severity, no, above))
+
+    found = _union([
+        tables[model].select(F.inline(F.filter(F.array(*asked), lambda e: e.isNotNull())))
+        for model, asked in entries.items()
+    ])
+    counted = found.groupBy("no", "value").agg(F.count(F.lit(1)).alias("n"))
+    # The same rows again, by value: no more than one per column and value is left of any table.
+    at_value = counted.groupBy("value").agg(F.map_from_entries(F.collect_list(F.struct("no", "n"))).alias("held"))
+    held = at_value.select(F.col("held").alias("all"), F.explode("held").alias("no", "n"))
+    asked = spark.createDataFrame(rules, _RULES)
+    hit = held.join(F.broadcast(asked), "no")  # one row per declared check
+    bad = (
+        F.when(F.col("test") == "unique", (F.col("n") > 1).cast("long"))
+        .when(F.col("above").isNotNull(), F.when(~F.map_contains_key("all", F.coalesce("above", F.lit(0))), F.col("n")))
+        .otherwise(F.col("n"))
+    )
+    failures = hit.groupBy("place").agg(F.sum(bad).alias("failures"))
+    return asked.join(F.broadcast(failures), "place", "left").select(
+        "model", "column", "test", "severity", F.coalesce("failures", F.lit(0)).cast("long").alias("failures")
+    )
+
+
+_RESULT = "model string, column string, test string, severity string, failures long"
+_RULES = "place int, model string, column string, test string, severity string, no int, above int"
+
+
+def _as_text(table: DataFrame, column: str, like: T.DataType | None) -> Column:
+    """The value as text, the same for equal values; in the type ``like`` where it can be read so."""
+    value = F.col(f"`{column}`")
+    if isinstance(table.schema[column].dataType, T.BinaryType):
+        return F.hex(value)
+    plain = value.cast("string")
+    return plain if like is None else F.coalesce(value.try_cast(like).cast("string"), plain)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -91,15 +131,6 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return parts[0]
 
 
-def _head(check: Check) -> list[Column]:
-    return [
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column"),
-        F.lit(check.test).alias("test"),
-        F.lit(check.severity).alias("severity"),
-    ]
-
-
 def enforce(results: DataFrame) -> None:
     """Raise when a check of severity ``error`` failed; warnings pass."""
     bad = results.filter("severity = 'error' and failures > 0").orderBy("model", "column").collect()

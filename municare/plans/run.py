@@ -12,6 +12,8 @@ from municare.plans.registry import MODELS, Workspace, build_order
 from municare.sinks import publish, read_table, refresh_incremental, table_path
 
 PRODUCTION = "fct_producao_ambulatorial"
+RAW_PRODUCTION = "raw_sia.producao_ambulatorial"
+ARRIVAL = "competencia_arquivo"
 
 
 def build_marts(
@@ -23,7 +25,7 @@ def build_marts(
 ) -> Workspace:
     """Views stay views (lazy, and temporary views by name); marts become tables under
     ``<root>/marts``, and the production fact only refreshes the arrival periods that changed
-    or the one given by ``bootstrap_period``, without a shuffle, as the raw table is stored by
+    or the one given by ``bootstrap_period``, told by the ledgers of both tables and without a shuffle, as the raw table is stored by
     arrival period too. Later models read the stored marts."""
     space = Workspace(spark, raw)
     for name in build_order(names):
@@ -34,13 +36,15 @@ def build_marts(
         path = table_path(root, found.layer, name)
         if name == PRODUCTION:
             staged, bridge = (space[r] for r in found.reads)
+            ledger = raw.ledger(RAW_PRODUCTION, ARRIVAL) if hasattr(raw, "ledger") else None
             refresh_incremental(
                 staged,
                 path,
                 lambda rows: found.build(rows, bridge),
-                "competencia_arquivo",
+                ARRIVAL,
                 only=bootstrap_period,
                 aligned=True,
+                offered=ledger,
             )
             space.put(name, read_table(spark, path, found.build(staged, bridge).schema))
         else:

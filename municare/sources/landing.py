@@ -6,12 +6,13 @@ Files arrive decoded (Parquet, CSV or JSON); fetching and decoding them is not d
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from municare import storage
-from municare.sources.validate import EmptySource, must
+from municare.sources.validate import EmptySource, must, watch_answers
 
 SOURCE_FILE = "_source_file"
 # Place of a record in its file; settles which of two equally new records came last.
@@ -82,29 +83,38 @@ def records_from_text(text: DataFrame, layout: str = "lines", envelope: str | No
     if layout == "lines":
         records = text.withColumnRenamed("value", "record")
     else:
-        body = F.col("value")
-        if layout == "envelope":
-            told = F.concat(F.col(SOURCE_FILE), F.lit(f": response without '{envelope}'"))
-            body = must(F.from_json("value", "map<string,string>")[envelope], told)
-        place = F.struct(F.lit(0).cast("long").alias("block"), F.col("at").cast("long").alias("row"))
-        records = text.select(
-            F.posexplode(F.from_json(body, "array<string>")).alias("at", "record"), SOURCE_FILE
-        ).withColumn(POSITION, place)
+        records = answer_records(answers_from_text(text, layout, envelope))
     kept = [SOURCE_FILE, POSITION] if told_place else [SOURCE_FILE]
     return records.select(
         "record", F.from_json("record", "map<string,string>").alias("fields"), *kept
     )
 
 
-def empty_answers(
-    spark: SparkSession, path: str, layout: str, envelope: str | None = None
-) -> DataFrame:
-    """Paths of the answers that hold no record, one per file."""
-    text = spark.read.text(path, wholetext=True)
-    body = F.col("value")
+def answers_from_text(text: DataFrame, layout: str, envelope: str | None = None) -> DataFrame:
+    """(_source_file, records): the records of each answer as texts, from one parse of the answer. An
+    answer without its envelope stops the job."""
     if layout == "envelope":
-        body = F.from_json("value", "map<string,string>")[envelope]
-    records = F.size(F.from_json(body, "array<string>"))
-    return text.filter(F.coalesce(records, F.lit(-1)) <= 0).select(
-        F.col("_metadata.file_path").alias(SOURCE_FILE)
-    )
+        told = F.concat(F.col(SOURCE_FILE), F.lit(f": response without '{envelope}'"))
+        records = must(F.from_json("value", f"struct<`{envelope}`: array<string>>")[envelope], told)
+    else:
+        records = F.from_json("value", "array<string>")
+    return text.select(SOURCE_FILE, records.alias("records"))
+
+
+def answer_records(answers: DataFrame) -> DataFrame:
+    """(record, _source_file, _position) of answers."""
+    place = F.struct(F.lit(0).cast("long").alias("block"), F.col("at").cast("long").alias("row"))
+    placed = answers.select(F.posexplode("records").alias("at", "record"), SOURCE_FILE)
+    return placed.select("record", SOURCE_FILE, place.alias(POSITION))
+
+
+def watched_records(
+    spark: SparkSession, path: str, layout: str, envelope: str | None, limit: int | None, source: str
+) -> tuple[DataFrame, Callable[[], None]]:
+    """Records of saved answers as ``read_records`` gives them, and the guard that looks at the answers
+    after the job which stored them: every answer is read and parsed once."""
+    text = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias(SOURCE_FILE))
+    answers = answers_from_text(text.filter(F.trim("value") != ""), layout, envelope)
+    answers, guard = watch_answers(answers, F.size("records"), SOURCE_FILE, limit, source)
+    records = answer_records(answers)
+    return records.select("record", F.from_json("record", "map<string,string>").alias("fields"), SOURCE_FILE, POSITION), guard

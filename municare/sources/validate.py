@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -16,6 +17,10 @@ class MissingField(SourceError):
     """A required field is absent from at least one record."""
 
 
+class MissingValue(SourceError):
+    """Records lack a value that their table must hold."""
+
+
 class EmptySource(SourceError):
     """No record where at least one was expected."""
 
@@ -91,6 +96,75 @@ def require_rows(rows: DataFrame, source: str) -> DataFrame:
     return rows
 
 
+def _observed(seen: Observation, rows: DataFrame, told: Sequence[Column]) -> dict:
+    """What a job observed. Where Spark found out on the way that nothing comes out of it, it drops the
+    rest of the plan and the figures with it; then they are counted by themselves."""
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        found = None
+    return found or rows.agg(*told).first().asDict()
+
+
+def watch_rows(rows: DataFrame, source: str) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows, counted by whatever job uses them, and a guard to call once it is done: no row at all
+    stops the load."""
+    seen, told = Observation(), [F.count(F.lit(1)).alias("rows")]
+    counted = rows.observe(seen, *told)
+
+    def guard() -> None:
+        if not _observed(seen, rows, told)["rows"]:
+            raise EmptySource(f"{source}: no records, at least one expected")
+
+    return counted, guard
+
+
+def watch_values(rows: DataFrame, required: Sequence[str], source: str) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows, and a guard to call once the job that uses them is done: values missing in a required
+    column stop the load. The counts ride on that job, like those of ``value_audit``."""
+    if not required:
+        return rows, lambda: None
+    seen = Observation()
+    told = [F.count_if(F.col(c).isNull()).alias(c) for c in required]
+    counted = rows.observe(seen, *told)
+
+    def guard() -> None:
+        lacking = {c: n for c, n in _observed(seen, rows, told).items() if n}
+        if lacking:
+            listed = ", ".join(f"{c} ({n})" for c, n in lacking.items())
+            raise MissingValue(f"{source}: no value for {listed}")
+
+    return counted, guard
+
+
+def watch_answers(
+    answers: DataFrame, held: Column, file: str, limit: int | None, source: str
+) -> tuple[DataFrame, Callable[[], None]]:
+    """Answers (one row each, ``held`` records in it), measured by the job that uses their records, and a
+    guard to call once it is done and before its rows become valid: an answer without records, no answer
+    at all, or one as large as its page ``limit`` stops the load."""
+    seen = Observation()
+    empty = F.coalesce(held, F.lit(0)) <= 0
+    told = [F.count(F.lit(1)).alias("answers"), F.min(F.when(empty, F.col(file))).alias("empty")]
+    if limit is not None:
+        full = F.when(held >= limit, F.struct(F.col(file).alias("file"), held.alias("held")))
+        told += [F.min(full)["file"].alias("full"), F.min(full)["held"].alias("held")]
+    measured = answers.observe(seen, *told)
+
+    def guard() -> None:
+        found = _observed(seen, answers, told)
+        if not found["answers"]:
+            raise EmptySource(f"{source}: no records, at least one expected")
+        if found["empty"] is not None:
+            raise EmptySource(f"{source}: {found['empty']} holds no records")
+        if found.get("full") is not None:
+            raise PageLimitReached(
+                f"{source}: {found['full']} holds {found['held']} records, the page limit is {limit}"
+            )
+
+    return measured, guard
+
+
 def reject_full_pages(rows: DataFrame, limit: int, source: str, per: str = "_source_file") -> DataFrame:
     """Raise when any single response reached its page limit."""
     full = rows.groupBy(per).count().filter(F.col("count") >= limit).orderBy(per).first()

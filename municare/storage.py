@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -73,3 +77,48 @@ def size(spark: SparkSession, path: str) -> int:
     """Bytes below a path."""
     location, fs = _handle(spark, path)
     return fs.getContentSummary(location).getLength() if fs.exists(location) else 0
+
+
+def last_change(spark: SparkSession, path: str) -> float:
+    """When anything below a path changed last, in seconds since 1970; now, where files come and go
+    while they are listed."""
+    location, fs = _handle(spark, path)
+    try:
+        newest = fs.getFileStatus(location).getModificationTime()
+        if fs.getFileStatus(location).isDirectory():
+            files = fs.listFiles(location, True)
+            while files.hasNext():
+                newest = max(newest, files.next().getModificationTime())
+    except Py4JJavaError:
+        return time.time()
+    return newest / 1000
+
+
+@contextmanager
+def locked(spark: SparkSession, path: str, wait: float = 60.0, dead_after: float = 600.0) -> Iterator[None]:
+    """Hold a lock file for the few calls that swap a pointer. Its creation fails where it exists already.
+
+    A lock older than ``dead_after`` seconds belongs to a driver that died and is taken away; holding one
+    takes well under a second.
+    """
+    location, fs = _handle(spark, path)
+    until = time.monotonic() + wait
+    while True:
+        try:
+            fs.create(location, False).close()
+            break
+        except Py4JJavaError as failed:
+            if not fs.exists(location):
+                if "AlreadyExists" not in str(failed.java_exception.getClass()):
+                    raise
+                continue
+            if time.time() - last_change(spark, path) > dead_after:
+                fs.delete(location, False)
+            elif time.monotonic() > until:
+                raise TimeoutError(f"{path} is held by another load") from None
+            else:
+                time.sleep(0.05)
+    try:
+        yield
+    finally:
+        fs.delete(location, False)

@@ -9,6 +9,7 @@ from municare.plans import build_marts
 from municare.schemas import RAW_SCHEMAS, raw_schema
 from municare.sources.validate import EmptySource, PageLimitReached
 
+BIMESTER = {"id_municipio": 3304557, "ano_exercicio": 2025, "periodo_bimestre": 6}
 PLACE = {"codigo_municipio": 330455, "quadrimestre": "2024Q3"}
 
 
@@ -106,7 +107,7 @@ def test_guards(spark, folder):
         ingest_file(spark, folder, folder, "raw_sia.producao_ambulatorial", "rj", 2025, 1)
     answer(spark, f"{folder}/none", {"items": []})
     with pytest.raises(EmptySource, match="rreo"):
-        ingest_json(spark, f"{folder}/none", folder, "raw_siops.rreo_anexo14", "https://x")
+        ingest_json(spark, f"{folder}/none", folder, "raw_siops.rreo_anexo14", "https://x", None, [BIMESTER])
     answer(spark, f"{folder}/full", {"sisab_indicador_desempenho": [rec.INDICATOR] * 1000})
     with pytest.raises(PageLimitReached, match="1000"):
         ingest_json(spark, f"{folder}/full", folder, "raw_sisab.indicador_desempenho", "https://x", None, [PLACE])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from municare import operators as op
-from municare.operators import quality, skew
+from municare.operators import overlapping, quality, skew, sweep_lookup
 from municare.operators.quality import Check
 
 
@@ -251,3 +251,74 @@ def test_quality_counts_and_severity(spark):
     with pytest.raises(quality.QualityError, match="child.k unique: 1"):
         quality.enforce(results)
     quality.enforce(results.filter("severity = 'warn'"))
+
+
+def brute_pairs(codes, ranges):
+    return sorted(((c, i) for c in codes for i, a, b in ranges if c is not None and None not in (a, b) and a <= c <= b), key=str)
+
+
+def test_sweep_lookup_against_brute_force(spark):
+    rng = random.Random(4)
+    codes = [rng.randint(0, 40_000) for _ in range(3_000)] + [None, 7, 7]
+    ranges = [(i, a, a + rng.choice([0, 3, 50, 39_000])) for i, a in enumerate(rng.randint(0, 40_000) for _ in range(400))]
+    ranges += [(900, 5, None), (901, None, 5), (902, 9, 2), (903, 0, 50_000), (904, 0, 50_000)]
+    rows = spark.createDataFrame([(c,) for c in codes], "code int")
+    sides = spark.createDataFrame(ranges, "id int, a int, b int")
+    got = sweep_lookup(rows, "code", sides, "a", "b", {"id": "id"})
+    found = sorted(((r.code, r.id) for r in got.collect() if r.id is not None), key=str)
+    assert found == brute_pairs(codes, ranges)
+    assert got.filter("code is null").count() == 1  # a left join
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "double"])
+def test_sweep_lookup_takes_any_ordered_key(spark, kind):
+    make = {"string": "lpad(cast(id as string), 3, '0')", "date": "date_add(date '2020-01-01', cast(id as int))", "double": "id / 4"}[kind]
+    rows = spark.range(60).selectExpr(f"{make} as code")
+    sides = spark.range(0, 60, 7).selectExpr("id", f"{make} as a").withColumn(
+        "b", F.expr({"string": "'030'", "date": "date_add(a, 9)", "double": "a + 2.5"}[kind])
+    )
+    got = sweep_lookup(rows, "code", sides, "a", "b", {"id": "id"}).filter("id is not null")
+    want = rows.crossJoin(sides).filter("code between a and b").select("code", "id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sweep_covers_whole_blocks_once(spark, monkeypatch):
+    from municare.operators import ranges as module
+
+    monkeypatch.setattr(module, "BLOCK", 4)
+    rows = spark.range(300).selectExpr("id as code")
+    sides = spark.createDataFrame([(1, 0, 299), (2, 3, 3), (3, 15, 16), (4, 16, 255), (5, 298, 400)], "id int, a long, b long")
+    got = sweep_lookup(rows, "code", sides, "a", "b", {"id": "id"}).filter("id is not null")
+    counts = {r.id: (r["count"], r.n) for r in got.groupBy("id").agg(F.count("*").alias("count"), F.countDistinct("code").alias("n")).collect()}
+    assert counts == {1: (300, 300), 2: (1, 1), 3: (2, 2), 4: (240, 240), 5: (2, 2)}
+
+
+def test_overlapping_names_the_range_that_reaches_farthest(spark):
+    rng = random.Random(9)
+    sides = [(i, a, a + rng.choice([0, 1, 40])) for i, a in enumerate(rng.randint(0, 3_000) for _ in range(500))]
+    sides += [(600, None, 3), (601, 9, 2)]
+    got = overlapping(spark.createDataFrame(sides, "name int, a int, b int").repartition(7), "name", "a", "b")
+    order = sorted((a, b, n) for n, a, b in sides if None not in (a, b) and a <= b)
+    want = []
+    for i, (a, b, n) in enumerate(order):
+        far = max(((y, m) for _, y, m in order[:i]), default=(-1, 0))
+        if far[0] >= a:
+            want.append((n, a, b, far[1], far[0]))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    apart = spark.range(50).selectExpr("id as name", "id * 10 as a", "id * 10 + 9 as b")
+    assert overlapping(apart, "name", "a", "b").count() == 0
+
+
+def test_quality_reads_every_table_once(spark, folder):
+    for name in ("child", "parent"):
+        spark.range(50).selectExpr("id as a", "cast(id % 7 as string) as b", "id % 60 as c").write.parquet(f"{folder}/{name}")
+    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in ("child", "parent")}
+    checks = [
+        Check("child", "a", "unique"), Check("child", "b", "unique"), Check("child", "b", "not_null"),
+        Check("child", "b", "accepted_values", ("0", "1")), Check("child", "a", "relationships", parent="parent", parent_column="c"),
+        Check("child", "b", "relationships", parent="parent", parent_column="a"), Check("parent", "a", "unique"),
+    ]
+    got = quality.run(checks, tables)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("FileScan parquet") == 2
+    assert [r.failures for r in got.collect()] == [0, 7, 0, 35, 0, 0, 0]

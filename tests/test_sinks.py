@@ -5,14 +5,19 @@ from pyspark.sql import functions as F
 
 from municare import storage
 from municare.sinks import (
+    MissingTable,
+    compact,
+    loads,
     publish,
     read_table,
     read_upserted,
     refresh_incremental,
     replace_partitions,
     stale_partitions,
+    sweep,
     table_path,
     upsert,
+    versions,
 )
 from municare.streaming import ingest_landing
 
@@ -89,7 +94,8 @@ def test_hot_partition_is_written_by_several_tasks(spark, folder):
         replace_partitions(big, folder, [{"m": str(i)} for i in range(50)])
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    parts = [n for n in storage.names(spark, f"{folder}/m=7") if n.endswith(".parquet")]
+    version = versions.state(spark, folder).parts["m=7"].version
+    parts = [n for n in storage.names(spark, f"{folder}/_version={version}/m=7") if n.endswith(".parquet")]
     assert len(parts) > 2
     assert read_table(spark, folder, big.schema).count() == 200_000
 
@@ -119,9 +125,9 @@ def test_upsert_beyond_the_broadcast_check(spark, folder, monkeypatch):
 def test_upsert_within_a_period_leaves_other_periods_alone(spark, folder):
     first = rows(spark, (1, "a", "202501"), (2, "b", "202501"), (1, "a", "202502"))
     upsert(first, folder, ["k", "m"], ["v"], within="m")
-    january = storage.names(spark, f"{folder}/m=202501")
+    january = versions.state(spark, folder).parts["m=202501"]
     upsert(rows(spark, (1, "new", "202502"), (3, "c", "202502")), folder, ["k", "m"], ["v"], within="m")
-    assert storage.names(spark, f"{folder}/m=202501") == january
+    assert versions.state(spark, folder).parts["m=202501"] == january
     assert content(read_upserted(spark, folder, first.schema, "m")) == [
         (1, "a", "202501"), (1, "new", "202502"), (2, "b", "202501"), (3, "c", "202502"),
     ]
@@ -182,10 +188,41 @@ def test_schema_sync_adds_and_drops_columns(spark, folder):
     assert content(stored.select("m", "w")) == [("a", None), ("b", 5)]
 
 
-def test_stale_partitions_reads_each_period_once(spark):
-    source = rows(spark, ("a", 1, DAY[1]), ("a", 1, DAY[0]), ("b", 1, DAY[0]), shape=STAMPED)
-    target = rows(spark, ("a", 1, DAY[0]), ("b", 1, DAY[0]), ("z", 1, DAY[0]), shape=STAMPED)
-    assert stale_partitions(source, target, "m", "_loaded_at") == ["a"]
+def test_stale_partitions_compares_ledgers(spark):
+    have = {"a": 1, "b": 1, "e": None, "z": 1}
+    assert stale_partitions({"a": 2, "b": 1, "c": 0, "d": None, "e": None}, have) == ["a", "c", "d"]
+
+
+def jobs_of(spark, work):
+    """How many jobs Spark ran."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_refresh_with_nothing_new_reads_no_rows(spark, folder):
+    source = rows(spark, ("a", 1, DAY[0]), ("b", 2, DAY[1]), ("c", None, DAY[1]), shape=STAMPED)
+    replace_partitions(source, f"{folder}/raw", [{"m": m} for m in "abc"])
+    stored = read_table(spark, f"{folder}/raw", source.schema)
+
+    def build(r):
+        return r.filter("v is not null")
+
+    def refresh():
+        offered = {m: p.newest for m, p in loads(spark, f"{folder}/raw", "m").items()}
+        return refresh_incremental(stored, f"{folder}/fact", build, "m", offered=offered)
+
+    assert refresh() == ["a", "b", "c"]
+    assert [p.rows for p in loads(spark, f"{folder}/raw", "m").values()] == [1, 1, 1]
+    # "c" came out empty and still counts as built
+    assert jobs_of(spark, lambda: refresh() == [] or 1 / 0) == 0
+    replace_partitions(rows(spark, ("b", 5, DAY[2]), shape=STAMPED), f"{folder}/raw", [{"m": "b"}])
+    stored = read_table(spark, f"{folder}/raw", source.schema)
+    assert refresh() == ["b"]
+    assert content(read_table(spark, f"{folder}/fact", source.schema).select("m", "v")) == [("a", 1), ("b", 5)]
 
 
 def test_publish_swaps_a_table_that_feeds_its_own_refresh(spark, folder):
@@ -195,19 +232,141 @@ def test_publish_swaps_a_table_that_feeds_its_own_refresh(spark, folder):
     assert content(publish(grown, folder)) == [(1, "a", "x"), (2, "b", "x")]
 
 
-def test_a_publish_that_stops_before_the_swap_leaves_the_table(spark, folder, monkeypatch):
-    from municare.sinks import tables
+def folders(spark, folder):
+    return [n for n in storage.names(spark, folder) if n.startswith("_version=")]
+
 
+def test_a_publish_that_stops_before_the_swap_leaves_the_table(spark, folder, monkeypatch):
     publish(rows(spark, (1, "a", "x")), folder)
-    monkeypatch.setattr(tables, "_point", lambda *a, **b: 1 / 0)
+    monkeypatch.setattr(versions, "commit", lambda *a, **b: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         publish(rows(spark, (2, "b", "x")), folder)
     monkeypatch.undo()
-    assert content(read_table(spark, folder, rows(spark, (1, "a", "x")).schema)) == [(1, "a", "x")]
+    shape = rows(spark, (1, "a", "x")).schema
+    assert content(read_table(spark, folder, shape)) == [(1, "a", "x")]
     publish(rows(spark, (3, "c", "x")), folder)
-    assert content(read_table(spark, folder, rows(spark, (1, "a", "x")).schema)) == [(3, "c", "x")]
-    versions = [n for n in storage.names(spark, folder) if n.startswith("v-")]
-    assert len(versions) == 2  # the valid one and the one before
+    assert content(read_table(spark, folder, shape)) == [(3, "c", "x")]
+    assert len(folders(spark, folder)) == 3  # valid, before, stopped
+    assert len(sweep(spark, folder, older_than=-1)) == 1
+    assert len(folders(spark, folder)) == 2
+    monkeypatch.setattr(versions, "KEEP_SECONDS", -1)
+    publish(rows(spark, (4, "d", "x")), folder)
+    publish(rows(spark, (5, "e", "x")), folder)
+    assert content(read_table(spark, folder, shape)) == [(5, "e", "x")]
+    assert len(folders(spark, folder)) == 2  # what was replaced long ago goes, what was replaced just now stays
+
+
+def test_a_version_that_another_run_still_writes_stays(spark, folder):
+    mine = f"{folder}/_version=other"
+    rows(spark, (9, "z", "x")).write.parquet(mine)
+    for k in (1, 2, 3):
+        publish(rows(spark, (k, "a", "x")), folder)
+    assert sweep(spark, folder) == [] and storage.exists(spark, mine)
+
+
+def test_a_replacement_that_stops_half_way_shows_the_old_rows(spark, folder):
+    first = rows(spark, (1, "a", "202501"), (2, "b", "202502"), (3, "c", "202503"))
+    months = [{"m": m} for m in ("202501", "202502", "202503")]
+    replace_partitions(first, folder, months)
+    half = rows(spark, (7, "n", "202501")).unionByName(refuse_all(rows(spark, (8, "n", "202502"))))
+    with pytest.raises(Exception, match="stopped"):
+        replace_partitions(half, folder, months[:2])
+
+    def late():
+        raise ValueError("refused after the write")
+
+    with pytest.raises(ValueError, match="after the write"):
+        replace_partitions(rows(spark, (7, "n", "202501")), folder, months, guard=late)
+    assert content(read_table(spark, folder, first.schema)) == content(first)
+    replace_partitions(rows(spark, (7, "n", "202501")), folder, months[:2])  # filled and emptied together
+    assert content(read_table(spark, folder, first.schema)) == [(3, "c", "202503"), (7, "n", "202501")]
+
+
+def refuse_all(frame):
+    from municare.sources.validate import refuse
+
+    return refuse(frame, F.lit(True), "stopped")
+
+
+def test_two_writers_of_different_partitions_keep_each_others_rows(spark, folder):
+    first = rows(spark, (1, "a", "202501"), (2, "b", "202502"))
+    replace_partitions(first, folder, [{"m": "202501"}, {"m": "202502"}])
+
+    def other():
+        replace_partitions(rows(spark, (8, "o", "202502"), (9, "o", "202503")), folder, [{"m": "202502"}, {"m": "202503"}])
+
+    replace_partitions(rows(spark, (7, "n", "202501")), folder, [{"m": "202501"}], guard=other)
+    assert content(read_table(spark, folder, first.schema)) == [
+        (7, "n", "202501"), (8, "o", "202502"), (9, "o", "202503"),
+    ]
+
+
+def test_writers_at_the_same_time(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def load(i):
+        upsert(rows(spark, (i, "own", "x"), (100, f"by {i}", "x")), folder, ["k"], ["m"])
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(load, range(4)))
+    stored = content(read_upserted(spark, folder, rows(spark, (1, "a", "x")).schema))
+    assert [r[0] for r in stored] == [0, 1, 100, 2, 3]
+
+
+def test_an_upsert_that_another_one_came_before_looks_again(spark, folder):
+    upsert(rows(spark, (1, "a", "x"), (2, "a", "x")), folder, ["k"], ["m"])
+    calls = []
+
+    def other():
+        calls.append(1)
+        upsert(rows(spark, (2, "other", "x"), (3, "other", "x")), folder, ["k"], ["m"])
+
+    real = versions.commit
+    first = [True]
+
+    def late(*a, **b):
+        if first.pop() if first else False:
+            other()
+        return real(*a, **b)
+
+    versions.commit, undo = late, real
+    try:
+        upsert(rows(spark, (3, "mine", "x")), folder, ["k"], ["m"])
+    finally:
+        versions.commit = undo
+    stored = content(read_upserted(spark, folder, rows(spark, (1, "a", "x")).schema))
+    assert stored == [(1, "a", "x"), (2, "other", "x"), (3, "mine", "x")]
+
+
+def test_a_first_load_that_stops_leaves_no_table(spark, folder):
+    bad = rows(spark, (1, "a", "x"), (None, "b", "x"))
+    with pytest.raises(Exception, match="NULL in key"):
+        upsert(bad, folder, ["k"], ["m"])
+    with pytest.raises(MissingTable):
+        read_upserted(spark, folder, bad.schema, may_be_empty=False)
+    upsert(bad.filter("k is not null"), folder, ["k"], ["m"])
+    assert read_upserted(spark, folder, bad.schema, may_be_empty=False).count() == 1
+
+
+def test_a_load_that_touches_few_keys_leaves_most_pieces(spark, folder):
+    month = lambda i, v: spark.range(i * 100, i * 100 + 100).selectExpr(
+        "cast(id as int) as k", f"'{v}' as v", f"'{i}' as m"
+    )
+    for i in range(12):
+        upsert(month(i, "a"), folder, ["k"], ["m"], slots=4)
+    before = versions.state(spark, folder).parts
+    assert len(before) == 48
+    late = month(3, "late").filter("k < 306").unionByName(month(12, "a"))
+    upsert(late, folder, ["k"], ["m"], slots=4)
+    after = versions.state(spark, folder).parts
+    assert sum(after.get(n) == p for n, p in before.items()) >= 44 and set(before) <= set(after)
+    stored = read_upserted(spark, folder, late.schema)
+    assert stored.count() == 1300 and stored.select("k").distinct().count() == 1300
+    assert content(stored.groupBy("v").count()) == [("a", 1294), ("late", 6)]
+    assert compact(spark, folder, late.schema, ["k"], 60) == 52
+    assert len(versions.state(spark, folder).parts) < 10
+    upsert(late.withColumn("v", F.lit("b")), folder, ["k"], ["m"])
+    assert content(read_upserted(spark, folder, late.schema).groupBy("v").count()) == [("a", 1194), ("b", 106)]
 
 
 def test_another_number_of_slots_keeps_each_key_once(spark, folder):
@@ -227,8 +386,6 @@ def test_place_in_the_load_settles_equal_stamps(spark, folder):
 
 
 def test_a_table_never_written_can_be_an_error(spark, folder):
-    from municare.sinks.tables import MissingTable
-
     shape = rows(spark, (1, "a", "x")).schema
     assert read_table(spark, f"{folder}/none", shape).count() == 0
     for read in (read_table, read_upserted):
