@@ -35,8 +35,8 @@ PRINTABLE = [range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100)]
 WHITE = "\t-\r \x85\xa0  -     　"
 # Cuts a text where no piece can reach across: before white space, or before its last blank.
 CHUNKS = rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-_REMEMBERED = 500_000
-_LONG = 64  # longer chunks are not remembered  # chunks and pairs a worker remembers; a memory, not a limit of the input
+_REMEMBERED = 500_000  # chunks and pairs a worker remembers; a memory, not a limit of the input
+_LONG = 64  # longer chunks are not remembered
 
 
 def letters_of_bytes() -> list[str]:
@@ -54,6 +54,20 @@ def read_vocabulary(path: str) -> dict:
     return {"vocabulary": content["model"]["vocab"], "merges": merges, "special": special}
 
 
+class _Remembered(dict):
+    """What ``make`` gives for a chunk, remembered unless the chunk is long."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, chunk: str):
+        made = self.make(chunk)
+        if len(chunk) <= _LONG:
+            self[chunk] = made
+        return made
+
+
 class Codec:
     """Encodes and decodes texts with one vocabulary."""
 
@@ -67,7 +81,6 @@ class Codec:
         byte_of = {c: bytes([b]) for b, c in enumerate(self.letters)}
         self.bytes_of = {i: b"".join(byte_of[c] for c in t) for t, i in vocabulary.items() if t not in special}
         self.bytes_of |= {i: t.encode() for t, i in special.items()}
-        self.text_of = {i: str(i) for i in self.bytes_of}
         self.special = special
         self.split = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.chunks = re.compile(CHUNKS)
@@ -80,7 +93,8 @@ class Codec:
         self.whole = {t: i for t, i in vocabulary.items() if t not in special and (len(t) == 1 or i in self.parts)}
         self.shown = dict(enumerate(self.letters))
         self.fits: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Remembered(self._chunk)
+        self.told = _Remembered(self._tell)
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """Parts of a token on its left (0) or right (1) edge, with the rank that swallows them."""
@@ -140,18 +154,33 @@ class Codec:
             at += size
         return tuple(out)
 
+    def _tell(self, chunk: str) -> tuple[int, bytes, bytes]:
+        """Number of ids, the ids in decimal joined by commas, and the bytes they decode to."""
+        ids = self._chunk(chunk)
+        return len(ids), ",".join([str(i) for i in ids]).encode(), b"".join([self.bytes_of[i] for i in ids])
+
     def _plain(self, text: str) -> list[int]:
-        chunks, known = self.chunks.findall(text), self.known
-        if len(known) > _REMEMBERED:
-            known.clear()
-        new = set(chunks).difference(known)
-        for chunk in new:
-            known[chunk] = self._chunk(chunk)
-        out = list(chain.from_iterable(map(known.__getitem__, chunks)))
-        for chunk in new:
-            if len(chunk) > _LONG:
-                del known[chunk]
-        return out
+        if len(self.known) > _REMEMBERED:
+            self.known.clear()
+        return list(chain.from_iterable(map(self.known.__getitem__, self.chunks.findall(text))))
+
+    def digest(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, and digests of the ids and of the text they decode to. What is joined is
+        remembered per chunk of text, so no id of a known chunk is touched again."""
+        if self.split and self.split.search(text):
+            ids = self.encode(text)
+            count, listed, raw = len(ids), ",".join([str(i) for i in ids]).encode(), self.decode(ids).encode()
+        else:
+            if len(self.told) > _REMEMBERED:
+                self.told.clear()
+            found = list(map(self.told.__getitem__, self.chunks.findall(text)))
+            count = sum([f[0] for f in found])
+            listed, raw = b",".join([f[1] for f in found]), b"".join([f[2] for f in found])
+            try:
+                raw.decode()
+            except UnicodeDecodeError:  # decoding shows such bytes as the replacement character
+                raw = raw.decode("utf-8", "replace").encode()
+        return count, hashlib.sha256(listed).hexdigest(), hashlib.sha256(raw).hexdigest()
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; strings of special tokens in it give their ids."""
@@ -210,12 +239,8 @@ def digests(documents: DataFrame, vocabulary: str, keep: list[str], text: str =
 
     def each(texts):
         codec = shared_codec(shared.value)
-        counts, of_ids, of_text = [], [], []
-        for text in texts:
-            ids = codec.encode((text or b"").decode())
-            counts.append(len(ids))
-            of_ids.append(hashlib.sha256(",".join([codec.text_of[i] for i in ids]).encode()).hexdigest())
-            of_text.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
+        told = [codec.digest((text or b"").decode()) for text in texts]
+        counts, of_ids, of_text = zip(*told) if told else ([], [], [])
         return {
             "n_tokens": pa.array(counts, pa.int64()),
             "ids_sha256": pa.array(of_ids, pa.string()),
