@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from municare.session import shared_folder
 
+T = TypeVar("T")
 _ROWS_AT_ONCE = 512  # whole texts that a Python worker holds as objects
 
 
@@ -69,6 +71,20 @@ def map_texts(
     return slim.mapInArrow(run, f"{kept}, {schema}" if kept else schema)
 
 
+def per_worker(spark: SparkSession, make: Callable[[], T]) -> Callable[[], T]:
+    """Gives tasks an object of their worker's own, made when a task first asks for it, so that what it
+    remembers serves all later batches and tasks of the worker."""
+    kept = spark.sparkContext.broadcast({})
+
+    def get() -> T:
+        held = kept.value
+        if "it" not in held:
+            held["it"] = make()
+        return held["it"]
+
+    return get
+
+
 def count_words(texts: list[bytes | None]) -> pa.Array:
     return pa.array([len(t.split()) if t else 0 for t in texts], pa.int64())
 

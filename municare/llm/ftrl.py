@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from municare.llm.common import map_texts
+from municare.llm.common import map_texts, per_worker
 from municare.llm.trees import sampled_labels
 
 BITS = 18
@@ -90,8 +90,10 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, sample: int = SAMPL
     rows = documents.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("__doc"))
     rows = rows.select("__doc", "__label", "text")
 
+    worker = per_worker(documents.sparkSession, Features)
+
     def features(texts):
-        make = Features()
+        make = worker()
         found = [make(t) for t in texts]
         return {
             "__columns": pa.array([c.astype(np.int32) for c, _ in found], pa.list_(pa.int32())),
@@ -125,9 +127,10 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, sample: int = SAMPL
 def scores(documents: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFrame:
     """``keep`` columns and ``score``, the probability of label 1, of every whole text."""
     shared = documents.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+    worker = per_worker(documents.sparkSession, Features)
 
     def each(texts):
-        make, w = Features(), shared.value
+        make, w = worker(), shared.value
         margins = np.empty(len(texts))
         for i, text in enumerate(texts):
             columns, values = make(text)

@@ -19,13 +19,15 @@ large groups get a hub of their own first.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from municare.llm.common import is_empty, map_texts, stored
+from municare.llm.common import is_empty, map_texts, per_worker, stored
 from municare.llm.components import components
 from municare.llm.shingles import Shingler
 
@@ -67,8 +69,8 @@ def band_hashes(coordinates: np.ndarray, bands: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _signed(texts, bands: int, rows: int) -> dict[str, pa.Array]:
-    shingler, sizes, keys, banded = Shingler(), [], [], []
+def _signed(texts, shingler: Shingler, bands: int, rows: int) -> dict[str, pa.Array]:
+    sizes, keys, banded = [], [], []
     for text in texts:
         found = shingler(text)
         sizes.append(len(found))
@@ -85,8 +87,7 @@ def _signed(texts, bands: int, rows: int) -> dict[str, pa.Array]:
     }
 
 
-def _sets(texts) -> dict[str, pa.Array]:
-    shingler = Shingler()
+def _sets(texts, shingler: Shingler) -> dict[str, pa.Array]:
     found = [shingler(t) for t in texts]
     return {
         "__set": pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64())),
@@ -100,7 +101,8 @@ def _full_sets(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> Da
     wanted = stored(wanted.join(nodes, "node"), "wanted")
     # One plan at every size: texts and classes meet by a sorted merge.
     texts = documents.join(wanted.hint("merge"), F.col("__id") == F.col("of"), "left_semi")
-    sets = map_texts(texts, ["__id"], "__text", _sets, "__set array<bigint>, __key binary")
+    worker = per_worker(documents.sparkSession, Shingler)
+    sets = map_texts(texts, ["__id"], "__text", lambda t: _sets(t, worker()), "__set array<bigint>, __key binary")
     # An id may repeat with the same set, of which one is enough, or with others, which are nodes of their own.
     sets = sets.join(wanted, (F.col("__id") == F.col("of")) & (F.col("__key") == F.col("key")))
     return stored(sets.dropDuplicates(["node"]).select("node", "__set"), "sets")
@@ -119,19 +121,35 @@ def _similar(shared: Column, a_size: Column, b_size: Column, percent: int) -> Co
     return F.lit(100) * shared >= F.lit(percent) * (a_size + b_size - shared)
 
 
-def _side(groups: DataFrame, key: list[str], name: str) -> DataFrame:
+def _size_band(percent: int) -> Column:
+    """Sizes of similar sets lie in the same band or in neighbouring ones; a little wider than need be,
+    against rounding."""
+    return F.floor(F.log(F.col("size").cast("double")) / F.lit(math.log(100 / percent) * 1.0001)).cast("int")
+
+
+def _side(groups: DataFrame, key: list[str], name: str, *more: str) -> DataFrame:
     columns = ["node", "size", "component", "with_hub", "outside"]
-    return groups.select(*key, *[F.col(c).alias(f"{name}_{c}") for c in columns])
+    return groups.select(*key, "__band", *more, *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
 
-def _listed(groups: DataFrame, key: list[str], percent: int, first: Column | None = None, foreign: bool = True) -> DataFrame:
+def _listed(groups: DataFrame, key: list[str], percent: int, below: str | None = None, foreign: bool = True) -> DataFrame:
     """Distinct pairs (a, b, a_size, b_size) of a group that lie in different components and may be
     similar. They share at most the lower of their parts within the hub and, if ``foreign``
     shingles may agree, the lower of their numbers of shingles ``outside`` it that come into
-    question. ``first`` restricts one side."""
-    x = _side(groups.filter(first) if first is not None else groups, key, "x")
-    pairs = x.join(_side(groups, key, "y"), key).filter("x_component != y_component and x_node != y_node")
+    question. The smaller of the two is smaller than the column ``below``, if given.
+
+    One of the two lies outside the ``main`` component of its group, the one with most members. So only
+    the others meet all members, of a size that allows similarity: many near copies and a few strangers
+    give pairs in proportion to the copies, and members of the main component never meet each other.
+    """
+    groups = groups.withColumn("__band", _size_band(percent))
+    others = groups.filter("component != main")
+    nearby = F.array(*[F.col("__band") + step for step in (-1, 0, 1)])
+    x = _side(others.withColumn("__band", F.explode(nearby)), key, "x", *([below] if below else []))
+    pairs = x.join(_side(groups, key, "y"), [*key, "__band"]).filter("x_component != y_component and x_node != y_node")
     col = F.col
+    if below is not None:
+        pairs = pairs.filter(F.least("x_size", "y_size") < col(below))
     most = F.least("x_with_hub", "y_with_hub")
     if foreign:
         most = most + F.least("x_outside", "y_outside")
@@ -144,17 +162,23 @@ def _listed(groups: DataFrame, key: list[str], percent: int, first: Column | Non
     return pairs.select(*ordered).select("a", "b", "a_size", "b_size").distinct()
 
 
+def _open_groups(groups: DataFrame, key: list[str]) -> DataFrame:
+    """(key, n, main): members of the groups that lie in several components, and the component with
+    most of them. Members are counted per component first, so a hot group crosses in few rows."""
+    parts = groups.groupBy(*key, "component").agg(F.count(F.lit(1)).alias("__n"))
+    largest = F.max(F.struct("__n", -F.col("component"), "component"))["component"]
+    opened = parts.groupBy(*key).agg(F.sum("__n").alias("n"), largest.alias("main"), F.count(F.lit(1)).alias("__parts"))
+    return stored(opened.filter("__parts > 1").drop("__parts"), "open")
+
+
 def _still_apart(groups: DataFrame, key: list[str], found: DataFrame) -> DataFrame:
-    """Groups with members in several components, with the component and number of members."""
+    """Groups with members in several components, with the component of each member, the number of
+    members and the main component."""
     labels = found.select(F.col("node").alias("__node"), F.col("component").alias("__component"))
-    groups = groups.drop("component", "n").join(labels, F.col("node") == F.col("__node"), "left")
+    groups = groups.drop("component", "n", "main").join(labels, F.col("node") == F.col("__node"), "left")
     groups = groups.withColumn("component", F.coalesce("__component", "node")).drop("__node", "__component")
     groups = stored(groups, "labelled")
-    open_groups = groups.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    open_groups = stored(open_groups.filter("low != high").drop("low", "high"), "open")
-    return stored(groups.join(open_groups, key), "apart")
+    return stored(groups.join(_open_groups(groups, key), key), "apart")
 
 
 def near_duplicates(
@@ -171,9 +195,9 @@ def near_duplicates(
     Rows without an id take part in no link: component_id null, kept true. Rows that repeat an
     id and its shingles are copies of one document and kept or dropped together. Rows that
     repeat an id with other shingles are documents of their own; a component has the name of its
-    smallest id and keeps one set of shingles. Other columns are not read.
+    smallest id, and rows of that id are kept. Other columns are not read.
     """
-    return judged(documents, id, text, bands, rows, percent).drop("__text_key")
+    return judged(documents, id, text, bands, rows, percent).drop("__text_key", "__stays")
 
 
 def judged(
@@ -184,10 +208,13 @@ def judged(
     rows: int = ROWS,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """``near_duplicates`` with ``__text_key``, the xxhash64 of the text of the row."""
+    """``near_duplicates`` with ``__text_key``, the xxhash64 of the text of the row, and ``__stays``: like
+    kept, but of rows that repeat an id with different texts of one component only one set stays."""
     slim = documents.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
+    worker = per_worker(documents.sparkSession, Shingler)
     signed = map_texts(
-        slim.withColumn("__text_key", F.xxhash64("__text")), ["__id", "__text_key"], "__text", lambda t: _signed(t, bands, rows),
+        slim.withColumn("__text_key", F.xxhash64("__text")), ["__id", "__text_key"], "__text",
+        lambda t: _signed(t, worker(), bands, rows),
         "__n bigint, __key binary, __bands array<bigint>",
     )
     signed = stored(signed, "signed")
@@ -222,8 +249,9 @@ def judged(
         F.col("__id").alias(id),
         F.col("__n").alias("n_shingles"),
         component.alias("component_id"),
-        (F.col("__id").eqNullSafe(component) & first).alias("kept"),
+        F.col("__id").eqNullSafe(component).alias("kept"),
         "__text_key",
+        (F.col("__id").eqNullSafe(component) & first).alias("__stays"),
     )
 
 
@@ -249,15 +277,14 @@ def _links(buckets: DataFrame, documents: DataFrame, classes: DataFrame, percent
     large = groups.filter(F.col("n") > FEW)
     # Without foreign shingles in common the smaller of two classes has to be smaller than the
     # hub, or one of the two would be similar to the hub whenever the pair is.
-    rest = rest.union(_listed(large, ["hub"], percent, F.col("size") < F.col("hub_size"), foreign=False))
+    rest = rest.union(_listed(large, ["hub"], percent, "hub_size", foreign=False))
 
     foreign = large.join(sets.select("node", F.col("__set").alias("own")), "node")
     foreign = foreign.join(sets.select(F.col("node").alias("hub"), F.col("__set").alias("hubs")), "hub")
-    foreign = foreign.withColumn("shingle", F.explode(F.array_except("own", "hubs"))).drop("own", "hubs", "n", "outside")
+    foreign = foreign.withColumn("shingle", F.explode(F.array_except("own", "hubs"))).drop("own", "hubs", "n", "main", "outside")
     foreign = stored(foreign, "foreign")
     key = ["hub", "shingle"]
-    many = foreign.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    many = stored(many.filter("n > 1 and low != high").drop("low", "high"), "many")
+    many = _open_groups(foreign, key)
     # The rarest first: of the shingles that two classes share, the first one has all others
     # behind it, so what is left from a shingle on bounds a pair that is found by it.
     order = Window.partitionBy("hub", "node").orderBy(F.desc("n"), F.desc("shingle"))

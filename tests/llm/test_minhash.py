@@ -64,6 +64,34 @@ def test_equals_brute_force(documents, monkeypatch, seed, few):
     assert got == brute(docs)
 
 
+def test_copies_and_strangers_give_pairs_in_proportion(documents, monkeypatch, spark):
+    """Near copies that share buckets with a few strangers: what is listed grows with the copies."""
+    listed = []
+    real = minhash._listed
+
+    def counted(*a, **b):
+        out = real(*a, **b)
+        listed[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "_listed", counted)
+    for n in (60, 240):
+        rng = random.Random(n)
+        base = [f"b{k}" for k in range(160)]
+        docs = []
+        for k in range(n):
+            words = list(base)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(160)] = f"v{rng.randint(0, 10**6)}"
+            docs.append((k, " ".join(words)))
+        for k in range(3):  # alike, but below the threshold
+            docs.append((10_000 + k, " ".join(base[: 100 + k] + [f"s{k}{j}" for j in range(60)])))
+        listed.append(0)
+        got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(documents(docs)).collect()}
+        assert got == {i: c for i, (_, c, _) in brute(docs).items()}
+    assert listed[1] <= 8 * max(listed[0], 60)
+
+
 def test_estimates_the_jaccard_coefficient():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
