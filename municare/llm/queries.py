@@ -169,8 +169,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op9_license_scan")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    # The tables hold no paths: a document lies in the folder of its language in its source's.
-    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    # The tables hold no paths, so each document is in a folder of its own and none inherits from another.
+    place = [F.coalesce(c, F.lit("-")) for c in ("source", "lang", F.col("doc_id").cast("string"))]
+    path = F.concat_ws("/", *place, F.lit("text"))
     return licenses.scan_licenses(table(spark, folder, "documents").withColumn("path", path))
 
 
