@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ CELL_ROWS = 4096  # vectors per cell that the number of pivots aims at
 MOST_PIVOTS = 1024  # bound of the broadcast; larger cells are cut into blocks
 BLOCK, GUEST_BLOCK = 8192, 32768
 _CHUNK = 512
+_FINISHED = 50_000  # pairs of a chunk that are finished one by one
 _SLACK = 1e-6  # radians that bounds are widened by, against rounding
 
 
@@ -52,6 +54,33 @@ def _unit(values) -> np.ndarray | None:
     return v / np.sqrt(v @ v)
 
 
+def _units(column: pa.Array) -> list[np.ndarray | None]:
+    """The scaled vectors of a list column: whole batches at once where all have the same length."""
+    rows = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    values = rows.flatten()
+    width = len(values) // len(rows) if len(rows) else 0
+    lengths = rows.value_lengths()
+    if not width or rows.null_count or values.null_count or pc.min_max(lengths).as_py() != {"min": width, "max": width}:
+        return [_unit(v) for v in rows.to_pylist()]
+    v = values.to_numpy(zero_copy_only=False).reshape(len(rows), width)
+    top = np.abs(v).max(axis=1)
+    fine = np.isfinite(top) & (top > 0)
+    v = v[fine] / top[fine, None]
+    units = iter(v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None])
+    return [next(units) if ok else None for ok in fine]
+
+
+def _pairs(x: np.ndarray, y: np.ndarray, x32: np.ndarray, y32: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of x and y with at least this cosine in double precision. Products in single precision, wrong
+    by less than ``margin``, tell which pairs can be; few such pairs are finished one by one, many as a whole."""
+    margin = np.float32(1e-6 + 2.4e-7 * x.shape[1])
+    i, j = np.nonzero(x32 @ y32.T >= np.float32(cosine) - margin)
+    if len(i) > _FINISHED:
+        return np.nonzero(x @ y.T >= cosine)
+    close = np.einsum("ij,ij->i", x[i], y[j]) >= cosine
+    return i[close], j[close]
+
+
 def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(vectors @ pivots.T, -1.0, 1.0))
 
@@ -69,7 +98,7 @@ def _classes(vectors: DataFrame, id: str, column: str) -> tuple[DataFrame, DataF
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units = [_unit(v) for v in batch.column(1).to_pylist()]
+            units = _units(batch.column(1))
             # Trailing zeros and the sign of zero make no other direction.
             raw = [None if u is None else (np.trim_zeros(u, "b") + 0.0).tobytes() for u in units]
             keys = [None if r is None else xxhash.xxh3_128_digest(r) for r in raw]
@@ -93,8 +122,8 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", column: str = "embed
     that are null, empty, zero or hold null or non-finite components link with nothing, as do
     rows without an id (component null, kept). A shorter vector is compared as if filled up
     with zeros. Rows that repeat an id and a vector are linked copies; rows that repeat an id with
-    other vectors are vectors of their own, and a component has the name of its smallest id and
-    keeps one class of equal directions. Other columns are not read.
+    other vectors are vectors of their own, and a component has the name of its smallest id, whose rows
+    are kept. Other columns are not read.
     """
     reach = math.acos(cosine)
     rows, classes = _classes(vectors, id, column)
@@ -184,6 +213,7 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", column: str = "embed
         nodes = np.concatenate([guest["node"].to_numpy(), member["node"].to_numpy()])
         copies = np.concatenate([guest["copies"].to_numpy(), member["copies"].to_numpy()])
         x, y = _matrix(list(guest["unit"]), width), _matrix(list(member["unit"]), width)
+        x32, y32 = x.astype(np.float32), y.astype(np.float32)
         gx, gy = guest["angle"].to_numpy(), member["angle"].to_numpy()
         links = np.zeros(len(nodes), np.int64)
         label = np.arange(len(nodes))
@@ -191,7 +221,7 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", column: str = "embed
             end = min(at + _CHUNK, len(x))
             low = np.searchsorted(gy, gx[at] - reach - _SLACK)
             high = np.searchsorted(gy, gx[end - 1] + reach + _SLACK, "right")
-            i, j = np.nonzero(x[at:end] @ y[low:high].T >= cosine)
+            i, j = _pairs(x[at:end], y[low:high], x32[at:end], y32[low:high], cosine)
             i, j = i + at, j + low + len(x)
             once = ~own[i] | (nodes[i] > nodes[j])  # guests of their own cell meet from both sides
             i, j = i[once], j[once]
@@ -222,7 +252,7 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", column: str = "embed
     least = facts.groupBy(F.col("component").alias("__component")).agg(F.min(F.struct("id", "key")).alias("least"))
     facts = facts.join(stored(least, "least"), F.col("component") == F.col("__component"))
     facts = facts.select(
-        F.col("key").alias("__class"), "links", F.col("least.id").alias("component"), F.col("least.key").alias("first")
+        F.col("key").alias("__class"), "links", F.col("least.id").alias("component")
     )
     facts = stored(facts, "facts")
     linked = rows.join(facts, (F.col("key") == F.col("__class")) & F.col("__id").isNotNull(), "left")
@@ -235,10 +265,10 @@ def _named(rows: DataFrame, id: str) -> DataFrame:
         F.col("__id").alias(id),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
-        (F.col("__id").eqNullSafe(component) & F.coalesce(F.col("key") == F.col("first"), F.lit(True))).alias("kept"),
+        F.col("__id").eqNullSafe(component).alias("kept"),
     )
 
 
 def _unlinked(rows: DataFrame, id: str) -> DataFrame:
     none = F.lit(None).cast("long")
-    return _named(rows.withColumn("links", none).withColumn("component", F.col("__id")).withColumn("first", F.col("key")), id)
+    return _named(rows.withColumn("links", none).withColumn("component", F.col("__id")), id)

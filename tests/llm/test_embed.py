@@ -70,4 +70,16 @@ def test_ids_that_repeat_with_other_vectors(spark):
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
     got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embed.near_duplicates(frame).collect())
     assert [r[:3] for r in got] == [(1, 1, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 1, 1), (4, 0, 4)]
-    assert sorted(r[3] for r in got if r[0] == 1) == [False, True, True] and [r[3] for r in got[3:]] == [False, False, True]
+    assert [r[3] for r in got] == [r[0] == r[2] for r in got]
+
+
+def test_single_precision_only_chooses_candidates(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 64))
+    y = np.concatenate([x[:200] + 0.33 * rng.normal(size=(200, 64)), rng.normal(size=(100, 64))])
+    x, y = (v / np.sqrt((v * v).sum(1))[:, None] for v in (x, y))
+    want = set(zip(*np.nonzero(x @ y.T >= 0.95)))
+    for finished in (50_000, 0):
+        monkeypatch.setattr(embed, "_FINISHED", finished)
+        assert set(zip(*embed._pairs(x, y, x.astype(np.float32), y.astype(np.float32), 0.95))) == want
+    assert 20 < len(want) < 200
