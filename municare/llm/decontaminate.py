@@ -167,9 +167,13 @@ def decontaminate(
     """
     if remove not in ("spans", "documents"):
         raise ValueError("remove is 'spans' or 'documents'")
-    named = docs.withColumn("__key", F.md5(F.col(f"`{text}`").cast("binary")))
+    names = docs.columns
+    at = f"c{names.index(text)}"
+    named = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    named = named.withColumn("__key", F.md5(F.col(at).cast("binary")))
+    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
     grams = stored(windows(benchmark).select("gram").distinct(), "windows")
-    found = hits(named, grams, ["__key"], text, **limits).filter("gram is not null")
+    found = hits(named, grams, ["__key"], at, **limits).filter("gram is not null")
     firsts = found.groupBy("__key").agg(F.min("row").alias("__first"))  # one of the rows of a text
     placed = found.join(firsts, "__key").filter("row = __first")
     whole = spans(placed.select("row", "low", "high"))
@@ -177,13 +181,11 @@ def decontaminate(
     gone = firsts.join(gone, F.col("row") == F.col("__first")).select(F.col("__key").alias("__hit"), "__gone")
     gone = stored(gone, "gone")
     same = F.col("__key") == F.col("__hit")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
     if remove == "documents":
-        return named.join(gone, same, "left_anti").select(*columns)
-    pieces = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(PIECE), F.lit(0))
+        return named.join(gone, same, "left_anti").select(*back)
+    pieces = F.regexp_extract_all(F.col(at), F.lit(PIECE), F.lit(0))
     inside = lambda i: F.exists("__gone", lambda s: (s["low"] <= i) & (i < s["high"]))
     left = F.array_join(F.filter(pieces, lambda _, i: ~inside(i)), "")
-    tail = F.regexp_extract(F.col(f"`{text}`"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\z", 0)
-    cleaned = F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(F.concat(left, tail))
-    joined = named.join(gone, same, "left")
-    return joined.select(*[cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    tail = F.regexp_extract(F.col(at), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\z", 0)
+    cleaned = F.when(F.col("__gone").isNull(), F.col(at)).otherwise(F.concat(left, tail))
+    return named.join(gone, same, "left").withColumn(at, cleaned).select(*back)
