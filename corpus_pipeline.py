@@ -24,14 +24,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of line runs; those that lose every line stay, empty."""
-    return lines.line_dedup(docs).select(*[f"`{c}`" for c in docs.columns])
+    """Documents without later copies of line runs; those that lose every line with a word go."""
+    done = lines.line_dedup(docs)
+    left = done.filter("n_deleted = 0 or n_deleted < n_lines")
+    return left.select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     judged = minhash.judged(docs)
-    dropped = judged.filter("not kept").select(judged["doc_id"].alias("__doc"), "__text_key").distinct()
+    dropped = judged.filter("not __stays").select(judged["doc_id"].alias("__doc"), "__text_key").distinct()
     # An id may repeat with another text. One plan at every size: texts and decisions meet by a sorted merge.
     same = (docs["doc_id"] == dropped["__doc"]) & (F.xxhash64(docs["text"]) == dropped["__text_key"])
     return docs.join(dropped.hint("merge"), same, "left_anti")
