@@ -13,7 +13,7 @@ from municare.catalog.landed import code6, id7
 from municare.catalog.registry import comparable, query, table
 from municare.catalog.writes import ARRIVED, LINE_KEYS, MONEY, _arrivals, _orders_by_month, _periods
 from municare.intake import ingest_file, ingest_json, open_raw
-from municare.operators import overlapping, sweep_lookup
+from municare.operators import distinct_counts, distinct_state, overlapping, sweep_lookup
 from municare.session import shared_folder
 from municare.sinks import (
     loads,
@@ -24,6 +24,7 @@ from municare.sinks import (
     upsert,
 )
 from municare.sources.validate import refuse
+from municare.streaming import ingest_landing_parts
 
 
 @query(
@@ -301,3 +302,62 @@ def overlapping_ranges(spark: SparkSession, folder: str) -> DataFrame:
 def _band_columns() -> list[str]:
     return ["p_partkey", "p_retailprice as a",
             "p_retailprice + if(p_partkey % 10 = 0, p_size * 20.0D, 0.0D) as b"]
+
+
+@query(
+    "q53_distinct_counts_that_merge",
+    """
+select o_orderpriority, count(distinct o_custkey) as customers, count(distinct year(o_orderdate)) as years
+from orders group by 1""",
+)
+def distinct_counts_that_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads, years dealt to them, each kept as bitmaps; the counts come from the bitmaps alone."""
+    orders = table(spark, folder, "orders").withColumn("y", F.year("o_orderdate").cast("long"))
+    path, group = shared_folder(spark, "distinct"), ["what", "o_orderpriority"]
+    values = F.explode(F.create_map(F.lit("customers"), F.col("o_custkey").cast("long"), F.lit("years"), F.col("y")))
+    for load in ("0", "1", "2"):
+        rows = orders.filter(F.col("y") % 3 == int(load)).select("o_orderpriority", values.alias("what", "value"))
+        state = distinct_state(rows, group, "value").withColumn("load", F.lit(load))
+        replace_partitions(state, path, [{"load": load}])
+    counts = distinct_counts(read_table(spark, path, state.schema), group, "n")
+    return counts.groupBy("o_orderpriority").agg(
+        *[F.max(F.when(F.col("what") == what, F.col("n"))).alias(what) for what in ("customers", "years")]
+    )
+
+
+@query(
+    "q54_stream_of_parts",
+    """
+select strftime(ts, '%Y%m') as arrival, event_type, count(*) as n,
+    cast(sum(cast(value as decimal(18,2)) + case when event_type = 'signup' then 0 else 1 end) as double) as total
+from events group by 1, 2""",
+)
+def stream_of_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Three visits to a landing folder: a part of all periods, a late part, and the first part again, in another
+    folder, with corrected values."""
+    rows = table(spark, folder, "events").select(
+        "event_id", "event_type", F.col("value").cast(MONEY).alias("v"), F.date_format("ts", "yyyyMM").alias("arrival")
+    )
+    landing, target = shared_folder(spark, "landing"), shared_folder(spark, "ingested")
+    late = F.col("event_type") == "signup"
+
+    def land(part: DataFrame, place: str, name: str) -> None:
+        beside = shared_folder(spark, "part")
+        part.repartition(1, F.lit(0)).write.parquet(beside)  # one landed file is one part
+        file = next(n for n in storage.names(spark, beside) if n.endswith(".parquet"))
+        part.limit(0).write.mode("append").parquet(f"{landing}/{place}")
+        storage.rename(spark, f"{beside}/{file}", f"{landing}/{place}/{name}")
+
+    def visit(state: str) -> None:
+        ingest_landing_parts(spark, landing, rows.schema, target, state, "arrival")
+
+    state = shared_folder(spark, "progress")
+    land(rows.filter(~late), "first", "events-a.parquet")
+    visit(state)
+    land(rows.filter(late), "second", "events-b.parquet")
+    visit(state)
+    corrected = rows.filter(~late).withColumn("v", (F.col("v") + 1).cast(MONEY))
+    land(corrected, "third", "events-a.parquet")
+    visit(state)
+    stored = read_table(spark, target, rows.schema)
+    return comparable(stored.groupBy("arrival", "event_type").agg(F.count("*").alias("n"), F.sum("v").alias("total")))

@@ -1,6 +1,7 @@
 """Relational operators that take column names, so they run on any table."""
 
 from municare.operators.alerts import federate_rules, label_pair, rule
+from municare.operators.distinct import distinct_counts, distinct_state
 from municare.operators.history import latest_per_key, presence_status
 from municare.operators.ledger import ledger_entries, union_ledgers
 from municare.operators.lookup import (
@@ -19,6 +20,8 @@ from municare.operators.skew import join_facts_back, spread_lookup
 __all__ = [
     "aggregate_then_label",
     "bounded",
+    "distinct_counts",
+    "distinct_state",
     "federate_rules",
     "join_facts_back",
     "keep_other_partitions",

@@ -46,3 +46,46 @@ def ingest_landing(
         .start()
     )
     query.awaitTermination()
+
+
+PART = "_part"
+
+
+def ingest_landing_parts(
+    spark: SparkSession,
+    landing: str,
+    schema: T.StructType,
+    target: str,
+    checkpoint: str,
+    partition: str = "competencia_arquivo",
+    build: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> None:
+    """Take in the files that arrived since the last call, and read nothing else.
+
+    The table keeps the rows of every landed file as a part of their own (``partition``, ``_part`` = name of
+    the file). A new file adds its parts to its periods; a file of a name that is known replaces what came
+    under it, in any folder below ``landing``, so a batch that is repeated after a failure, or a whole landing
+    folder read again under a new checkpoint, changes nothing. ``build`` keeps the columns ``partition`` and
+    ``_part`` and the rows of ``schema``. Read the table with ``read_table``.
+    """
+    wide = T.StructType([*schema.fields, T.StructField(PART, T.StringType())])
+
+    def apply(arrived: DataFrame, _batch: int) -> None:
+        named = [r.asDict() for r in arrived.select(partition, PART).distinct().collect()]  # files
+        if named:
+            replace_partitions(arrived.select(*wide.names), target, named)
+
+    arrived = (
+        spark.readStream.schema(schema)
+        .option("recursiveFileLookup", "true")
+        .parquet(landing)
+        .select("*", F.col("_metadata.file_name").alias(PART))
+    )
+    query = (
+        build(arrived)
+        .writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
