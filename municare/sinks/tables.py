@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from municare import storage
 from municare.operators.history import latest_per_key
 from municare.operators.lookup import MAX_BROADCAST_ROWS
+from municare.session import narrow_scans
 from municare.sinks import versions
 from municare.sinks.versions import VERSION, MissingTable, Part, State, TableChanged, sweep
 from municare.sources.validate import refuse
@@ -201,12 +202,14 @@ def upsert(
     loaded = versions.new_version()
     fresh_path = f"{path}/{VERSION}={loaded}"
     if within is not None:
-        _write(latest, fresh_path, [within])
+        with narrow_scans(spark):
+            _write(latest, fresh_path, [within])
     else:
         place = F.spark_partition_id() if slots is None else F.pmod(_hash(keys), F.lit(slots))
         name = F.concat_ws("-", F.lit(loaded[:12]), F.lpad(place.cast("string"), 6, "0"))
         sized = latest.hint("rebalance") if slots is None else latest
-        _write(sized.withColumn(PIECE, name), fresh_path, [PIECE], gather=slots is not None)
+        with narrow_scans(spark):
+            _write(sized.withColumn(PIECE, name), fresh_path, [PIECE], gather=slots is not None)
         _locate(spark, path, loaded, latest.schema, keys)
     if guard is not None:
         guard()

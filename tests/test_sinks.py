@@ -122,6 +122,23 @@ def test_upsert_beyond_the_broadcast_check(spark, folder, monkeypatch):
     assert content(stored.groupBy("v").count()) == [("a", 30), ("b", 20)]
 
 
+def test_a_load_sorts_small_scans(spark, folder, monkeypatch):
+    from municare.session import SCAN_BYTES
+    from municare.sinks import tables
+
+    held, write = [], tables._write
+    monkeypatch.setattr(tables, "_write", lambda *a, **b: (held.append(spark.conf.get(SCAN_BYTES)), write(*a, **b)))
+    before = spark.conf.get(SCAN_BYTES)
+    upsert(spark.range(5).selectExpr("id as k", "'x' as m"), folder, ["k"], ["m"])
+    spark.conf.set(SCAN_BYTES, "1m")
+    try:
+        upsert(spark.range(5, 9).selectExpr("id as k", "'x' as m"), folder, ["k"], ["m"])
+        assert spark.conf.get(SCAN_BYTES) == "1m"
+    finally:
+        spark.conf.set(SCAN_BYTES, before)
+    assert held == [str(8 << 20), "1m"]
+
+
 def test_upsert_within_a_period_leaves_other_periods_alone(spark, folder):
     first = rows(spark, (1, "a", "202501"), (2, "b", "202501"), (1, "a", "202502"))
     upsert(first, folder, ["k", "m"], ["v"], within="m")
