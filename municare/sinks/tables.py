@@ -227,7 +227,7 @@ def upsert(
         if touched:
             again = versions.new_version()
             replaced = fresh.select(*keys)
-            replaced = F.broadcast(replaced) if few else replaced
+            replaced = _sided(replaced, few)
             stored = versions.read_parts(spark, path, shape, before, touched)
             kept = stored.join(replaced, list(keys), "left_anti").select(*shape.names)
             if within:  # the kept rows and the new ones of a period are one version
@@ -268,11 +268,18 @@ def _locate(
     hashes.write.partitionBy(PIECE).parquet(f"{path}/_locator/{VERSION}={version}")
 
 
+def _sided(keys: DataFrame, few: bool) -> DataFrame:
+    """Keys of a load for a join: sent to every task through the driver only if their rows were counted as
+    few. Spark goes by the size of the files, which sorted keys take little of."""
+    return F.broadcast(keys) if few else keys.hint("merge")
+
+
 def _holding(fresh: DataFrame, path: str, before: State, keys: Sequence[str], few: bool) -> list[str]:
     """The valid pieces that hold a key of ``fresh``, or one with its hash: at most all pieces."""
+    if not before.folders():
+        return []
     located = versions.read_parts(fresh.sparkSession, path, LOCATOR, before, below="_locator")
-    wanted = fresh.select(_hash(keys))
-    held = located.join(F.broadcast(wanted) if few else wanted, HASH, "left_semi")
+    held = located.join(_sided(fresh.select(_hash(keys)), few), HASH, "left_semi")
     return [_folder({PIECE: r[0]}) for r in held.select(PIECE).distinct().collect()]
 
 

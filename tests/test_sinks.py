@@ -122,6 +122,25 @@ def test_upsert_beyond_the_broadcast_check(spark, folder, monkeypatch):
     assert content(stored.groupBy("v").count()) == [("a", 30), ("b", 20)]
 
 
+def test_many_keys_are_not_sent_through_the_driver(spark, folder, monkeypatch):
+    from municare.sinks import tables
+
+    sent, write = [], tables._write
+
+    def seen(rows, *rest, **more):
+        sent.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, *rest, **more)
+
+    monkeypatch.setattr(tables, "MAX_BROADCAST_ROWS", 2)
+    monkeypatch.setattr(tables, "_write", seen)
+    first = spark.range(50).selectExpr("cast(id as int) as k", "'a' as v", "'x' as m")
+    for rows_ in (first, first.filter("k < 20")):
+        upsert(rows_, folder, ["k"], ["m"])
+    assert len(sent) == 3 and "SortMergeJoin" in sent[2] and not any("Broadcast" in p for p in sent)
+    with_hashes = tables._holding(first, folder, versions.state(spark, folder), ["k"], False)
+    assert sorted(with_hashes) == sorted(versions.state(spark, folder).parts)
+
+
 def test_a_load_sorts_small_scans(spark, folder, monkeypatch):
     from municare.session import SCAN_BYTES
     from municare.sinks import tables
