@@ -16,13 +16,16 @@ GONE = "possivelmente_encerrado"
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
     """One row per key, the newest first; NULL counts as newest, as in a descending sort of
-    the source database. Ties are settled by the content of the row.
+    the source database. Ties are settled by the content of the row; where keys and order name every column
+    there are none between different rows, and no hash of the row is shuffled.
 
     Spark keeps one row per key and map task before it shuffles, so a hot key sends one row
     per task to its reducer.
     """
     order = [F.desc_nulls_first(c) for c in newest_first]
-    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*rows.columns).desc())
+    if not order or not {*keys, *newest_first}.issuperset(rows.columns):
+        order.append(F.xxhash64(*rows.columns).desc())
+    window = Window.partitionBy(*keys).orderBy(*order)
     ranked = rows.withColumn("__rank", F.row_number().over(window))
     return ranked.filter(F.col("__rank") == 1).drop("__rank")
 
