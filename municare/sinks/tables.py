@@ -181,8 +181,8 @@ def upsert(
 
     The rows of a load are written once, as pieces of the table (of a size that Spark chooses, or ``slots``
     of them by key). A locator stored beside each piece holds the hashes of its keys; a later load looks its
-    own keys up there and rewrites the pieces that hold one of them, without those rows. Pieces that
-    hold none are neither read nor written. Where a period, ``within``, is part of the key, the periods are
+    own keys up there and rewrites the pieces that hold one of them, without those rows; a large load gives
+    these rows new pieces as they lie after the join. Pieces that hold none are neither read nor written. Where a period, ``within``, is part of the key, the periods are
     the pieces and need no locator.
 
     New rows and rewritten pieces become valid in one commit. When another load committed first, the
@@ -206,10 +206,10 @@ def upsert(
             _write(latest, fresh_path, [within])
     else:
         place = F.spark_partition_id() if slots is None else F.pmod(_hash(keys), F.lit(slots))
-        name = F.concat_ws("-", F.lit(loaded[:12]), F.lpad(place.cast("string"), 6, "0"))
+        # The rows come evenly dealt by key: a task writes its share of each slot without another shuffle.
         sized = latest.hint("rebalance") if slots is None else latest
         with narrow_scans(spark):
-            _write(sized.withColumn(PIECE, name), fresh_path, [PIECE], gather=slots is not None)
+            _write(sized.withColumn(PIECE, _piece(loaded, place)), fresh_path, [PIECE], gather=False)
         _locate(spark, path, loaded, latest.schema, keys)
     if guard is not None:
         guard()
@@ -232,11 +232,13 @@ def upsert(
             kept = stored.join(replaced, list(keys), "left_anti").select(*shape.names)
             if within:  # the kept rows and the new ones of a period are one version
                 kept = kept.unionByName(fresh.filter(F.col(part).isin(_values(fresh, part, touched))))
-            _write(kept, f"{path}/{VERSION}={again}", [part], gather=not few)
+            elif not few:  # they lie by key now, and make pieces as they lie
+                kept = kept.withColumn(PIECE, _piece(again, F.spark_partition_id()))
+            _write(kept, f"{path}/{VERSION}={again}", [part], gather=bool(within) and not few)
             if not within:
                 _locate(spark, path, again, latest.schema, keys)
-            left = set(versions.written_parts(spark, path, again, 1))
-            changes |= {name: Part(again) if name in left else None for name in touched}
+            left = versions.written_parts(spark, path, again, 1)
+            changes |= dict.fromkeys(touched) | {name: Part(again) for name in left}
         try:
             # A key that another load brought meanwhile may lie in any piece; periods keep keys apart.
             versions.commit(spark, path, changes, before, written if within else None)
@@ -252,6 +254,11 @@ def _values(rows: DataFrame, column: str, folders: Iterable[str]) -> list[object
     return [r[0] for r in rows.select(column).distinct().collect() if _folder({column: r[0]}) in wanted]
 
 
+def _piece(version: str, place: Column) -> Column:
+    """Name of a piece that a version brought."""
+    return F.concat_ws("-", F.lit(version[:12]), F.lpad(place.cast("string"), 6, "0"))
+
+
 def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys]).alias(HASH)
 
@@ -309,7 +316,7 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence
         return 0
     version = versions.new_version()
     rows = versions.read_parts(spark, path, schema, before, small)
-    name = F.concat_ws("-", F.lit(version[:12]), F.lpad(F.spark_partition_id().cast("string"), 6, "0"))
+    name = _piece(version, F.spark_partition_id())
     _write(rows.hint("rebalance").withColumn(PIECE, name), f"{path}/{VERSION}={version}", [PIECE], gather=False)
     _locate(spark, path, version, schema, keys)
     joined = {n: Part(version) for n in versions.written_parts(spark, path, version, 1)}

@@ -141,6 +141,29 @@ def test_many_keys_are_not_sent_through_the_driver(spark, folder, monkeypatch):
     assert sorted(with_hashes) == sorted(versions.state(spark, folder).parts)
 
 
+def test_a_large_load_shuffles_its_rows_once(spark, folder, monkeypatch):
+    from municare.sinks import tables
+
+    sent, write = [], tables._write
+
+    def seen(rows, *rest, gather=True):
+        sent.append((rows._jdf.queryExecution().executedPlan().toString(), gather))
+        write(rows, *rest, gather=gather)
+
+    monkeypatch.setattr(tables, "MAX_BROADCAST_ROWS", 2)
+    monkeypatch.setattr(tables, "_write", seen)
+    first = spark.range(300).selectExpr("cast(id as int) as k", "'a' as v", "'x' as m")
+    upsert(first, folder, ["k"], ["m", "v"], slots=4)
+    assert len(versions.state(spark, folder).parts) == 4
+    upsert(first.filter("k < 20").withColumn("v", F.lit("b")), folder, ["k"], ["m", "v"], slots=8)
+    assert [(p.count("Exchange "), gather) for p, gather in sent] == [(1, False), (1, False), (2, False)]
+    assert not any("xxhash64(k" in p.split("WindowGroupLimit")[-1] for p, _ in sent)
+    stored = read_upserted(spark, folder, first.schema)
+    assert content(stored.groupBy("v").count()) == [("a", 280), ("b", 20)]
+    upsert(first.filter("k > 290"), folder, ["k"], ["m", "v"], slots=8)
+    assert content(read_upserted(spark, folder, first.schema).groupBy("v").count()) == [("a", 280), ("b", 20)]
+
+
 def test_a_load_sorts_small_scans(spark, folder, monkeypatch):
     from municare.session import SCAN_BYTES
     from municare.sinks import tables
