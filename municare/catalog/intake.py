@@ -19,7 +19,7 @@ from municare.sources import raw as src
 from municare.sources.landing import records_from_text
 from municare.sources.lookups import REFERENCE_CODES
 from municare.schemas import not_null
-from municare.session import shared_folder
+from municare.session import narrow_scans, shared_folder
 from municare.sources.validate import field_audit, value_audit
 
 SCOPED = ", ".join(f"'{c}'" for c in REFERENCE_CODES)
@@ -41,13 +41,17 @@ OTHERS = [c for i in range(27) if (c := str(100000 + i)) not in REFERENCE_CODES]
 
 
 def _landing(spark: SparkSession, rows: DataFrame, *names: str) -> str:
-    """A landing folder with the rows as files of these names: they are written once, by the usual
-    tasks, and the files that come out are given the names."""
-    landing = shared_folder(spark, "landing")
-    rows.repartition(len(names), F.xxhash64(*rows.columns)).write.parquet(landing)
-    files = [n for n in storage.names(spark, landing) if n.endswith(".parquet")]
-    for file, name in zip(files, names, strict=True):
-        storage.rename(spark, f"{landing}/{file}", f"{landing}/{name}")
+    """A landing folder with the rows dealt over parts of these names. They are written once, by the usual
+    tasks, so that a part is a folder of files."""
+    landing, part = shared_folder(spark, "landing"), "__part"
+    dealt = rows.withColumn(part, F.pmod(F.xxhash64(*rows.columns), F.lit(len(names))))
+    with narrow_scans(spark):  # a task sorts its rows by part
+        dealt.write.partitionBy(part).parquet(landing)
+    for i, name in enumerate(names):
+        if storage.exists(spark, f"{landing}/{part}={i}"):
+            storage.rename(spark, f"{landing}/{part}={i}", f"{landing}/{name}")
+        else:
+            rows.limit(0).write.parquet(f"{landing}/{name}")
     return landing
 
 

@@ -19,10 +19,10 @@ SOURCE_FILE = "_source_file"
 POSITION = "_position"
 
 
-def _position(row: Column) -> Column:
+def _position(row: Column, *within: Column) -> Column:
     """Blocks of a file by their start, rows within."""
     start = F.col("_metadata.file_block_start")
-    return F.struct(start.alias("block"), row.alias("row"))
+    return F.struct(*within, start.alias("block"), row.alias("row"))
 
 
 def monthly_prefix(group: str, uf: str, year: int, month: int) -> str:
@@ -37,7 +37,7 @@ def annual_prefix(group: str, uf: str, year: int) -> str:
 
 def find_parts(spark: SparkSession, folder: str, prefix: str, extension: str = "parquet") -> list[str]:
     """All parts of one landed file, sorted: the bare name or a one-letter suffix, in any
-    case. No part at all is an error."""
+    case; files or folders of files. No part at all is an error."""
     wanted = re.compile(rf"{re.escape(prefix)}[a-z]?\.{re.escape(extension)}", re.IGNORECASE)
     parts = [n for n in storage.names(spark, folder) if wanted.fullmatch(n)]
     if not parts:
@@ -46,8 +46,8 @@ def find_parts(spark: SparkSession, folder: str, prefix: str, extension: str = "
 
 
 def read_parts(spark: SparkSession, paths: list[str], extension: str = "parquet") -> DataFrame:
-    """Rows of all parts, each with the name of its file and its place in it. CSV columns are
-    read as text."""
+    """Rows of all parts, each with the name of its part and its place in it. A part is a file or, where
+    several tasks wrote it, a folder of files, whose order is that of their names. CSV columns are read as text."""
     reader = spark.read
     if extension == "csv":
         rows = reader.option("header", "true").option("inferSchema", "false").csv(paths)
@@ -55,8 +55,13 @@ def read_parts(spark: SparkSession, paths: list[str], extension: str = "parquet"
     else:
         rows = reader.format(extension).load(paths)
     # A task reads a block from front to back, which the generated number follows.
-    place = _position(F.monotonically_increasing_id())
-    return rows.withColumns({SOURCE_FILE: F.col("_metadata.file_name"), POSITION: place})
+    file = part = F.col("_metadata.file_name")
+    folders = {p.rstrip("/").rsplit("/", 1)[1]: storage.folder_uri(spark, p) for p in paths}
+    folders = {name: uri for name, uri in folders.items() if uri}
+    for name, uri in folders.items():
+        part = F.when(F.contains("_metadata.file_path", F.lit(uri)), F.lit(name)).otherwise(part)
+    place = _position(F.monotonically_increasing_id(), *([file.alias("file")] if folders else []))
+    return rows.withColumns({SOURCE_FILE: part, POSITION: place})
 
 
 def read_records(

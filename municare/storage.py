@@ -73,6 +73,12 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(location, goal, options)
 
 
+def folder_uri(spark: SparkSession, path: str) -> str | None:
+    """The encoded path of a folder, as file paths in it begin after their scheme; None for a file."""
+    location, fs = _handle(spark, path)
+    return f"{location.toUri().getRawPath()}/" if fs.getFileStatus(location).isDirectory() else None
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes below a path."""
     location, fs = _handle(spark, path)

@@ -169,6 +169,32 @@ def test_parts_are_found_sorted_read_together_and_tagged(spark, folder):
         sources.find_parts(spark, folder, "PARJ2601")
 
 
+def test_a_part_may_be_a_folder_of_files(spark, folder):
+    from municare.sources.landing import POSITION
+
+    def made(i):
+        return spark.range(i, i + 40).selectExpr("cast(id as string) as v")
+
+    made(0).repartition(3).write.parquet(f"{folder}/PARJ2512a.parquet")
+    made(100).repartition(2).write.parquet(f"{folder}/PARJ2512b.parquet")
+    rows = sources.read_parts(spark, sources.find_parts(spark, folder, "PARJ2512"))
+    told = rows.groupBy("_source_file").agg(F.count("*").alias("n"), F.countDistinct(POSITION).alias("places"), F.countDistinct(f"{POSITION}.file").alias("files"))
+    assert sorted(map(tuple, told.collect())) == [("PARJ2512a.parquet", 40, 40, 3), ("PARJ2512b.parquet", 40, 40, 2)]
+
+
+def test_landed_parts_are_written_by_many_tasks(spark, folder):
+    from municare import storage
+    from municare.catalog.intake import _landing
+
+    names = ["PARJ2501a.parquet", "parj2501B.parquet"]
+    landing = _landing(spark, spark.range(0, 4000, 1, 5).selectExpr("id as k"), *names)
+    for name in names:
+        assert sum(n.endswith(".parquet") for n in storage.names(spark, f"{landing}/{name}")) == 5
+    one = _landing(spark, spark.range(1).selectExpr("id as k"), *names)  # a part without rows is one too
+    paths = sources.find_parts(spark, one, "PARJ2501")
+    assert len(paths) == 2 and [r.k for r in sources.read_parts(spark, paths).collect()] == [0]
+
+
 def test_csv_parts_stay_text(spark, folder):
     rec.lines(spark, rec.PRODUCTION).coalesce(1).write.option("header", "true").csv(folder)
     rows = sources.read_parts(spark, [folder], "csv")
