@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,10 +90,8 @@ def run(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
             entries.setdefault(c.model, []).append(F.when(_row_failure(c), failed))
         rules.append((place, c.model, c.column, c.test, c.severity, no, above))
 
-    found = _union([
-        tables[model].select(F.inline(F.filter(F.array(*asked), lambda e: e.isNotNull())))
-        for model, asked in entries.items()
-    ])
+    counts = {model for model, _, _ in numbers}
+    found = _union([_entries(tables[model], asked, model in counts) for model, asked in entries.items()])
     counted = found.groupBy("no", "value").agg(F.count(F.lit(1)).alias("n"))
     # The same rows again, by value: no more than one per column and value is left of any table.
     at_value = counted.groupBy("value").agg(F.map_from_entries(F.collect_list(F.struct("no", "n"))).alias("held"))
@@ -114,6 +113,14 @@ _RESULT = "model string, column string, test string, severity string, failures l
 _RULES = "place int, model string, column string, test string, severity string, no int, above int"
 
 
+def _entries(table: DataFrame, asked: Sequence[Column], counts: bool) -> DataFrame:
+    """(no, value) of every entry that is not null. What has row checks only is asked for the rows that fail
+    one. The entries are compared with null after they are rows, in compiled code, which a filter of the array is not."""
+    if not counts:
+        table = table.filter(reduce(lambda a, b: a | b, [e.isNotNull() for e in asked]))
+    return table.select(F.inline(F.array(*asked))).filter("no is not null")
+
+
 def _as_text(table: DataFrame, column: str, like: T.DataType | None) -> Column:
     """The value as text, the same for equal values; in the type ``like`` where it can be read so."""
     value = F.col(f"`{column}`")

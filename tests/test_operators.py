@@ -322,3 +322,16 @@ def test_quality_reads_every_table_once(spark, folder):
     plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("FileScan parquet") == 2
     assert [r.failures for r in got.collect()] == [0, 7, 0, 35, 0, 0, 0]
+
+
+def test_checks_ask_rows_only_where_one_fails_and_in_compiled_code(spark):
+    from municare.operators import quality
+    from municare.operators.quality import Check
+
+    rows = spark.createDataFrame([(1, "a"), (1, None), (None, "c")], "k int, v string")
+    only = spark.createDataFrame([(None, "x"), (2, "y")], "k int, v string")
+    checks = [Check("t", "k", "unique"), Check("t", "v", "not_null"), Check("u", "k", "not_null"), Check("u", "v", "accepted_values", ("x",))]
+    found = quality.run(checks, {"t": rows, "u": only})
+    assert sorted(r.failures for r in found.collect()) == [1, 1, 1, 1]
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in text and text.count("Generate inline") == 2
