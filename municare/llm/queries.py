@@ -169,9 +169,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op9_license_scan")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    # The tables hold no paths, so each document is in a folder of its own and none inherits from another.
-    place = [F.coalesce(c, F.lit("-")) for c in ("source", "lang", F.col("doc_id").cast("string"))]
-    path = F.concat_ws("/", *place, F.lit("text"))
+    # The tables hold no paths: a source is the folder of its documents, so that a whole licence text in it holds
+    # for those without a licence of their own. Without a source a document has no path and inherits nothing.
+    path = F.when(F.col("source") != "", F.concat_ws("/", "source", F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
     return licenses.scan_licenses(table(spark, folder, "documents").withColumn("path", path))
 
 

@@ -151,3 +151,14 @@ def test_inheritance_equals_brute_force(spark):
         if near is not None:
             want.add((d, held[near][1], near))
     assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_query_passes_a_licence_text_on_within_its_source(spark, folder):
+    from municare.llm.queries import op9
+
+    rows = [(1, "s", MIT), (2, "s", FILL), (3, "s", f"{FILL}\n{GPL_HEADER}\n{FILL}"), (4, "t", FILL), (5, None, FILL), (6, "", FILL), (7, None, MIT), (8, "s/t", FILL)]
+    rows += [(100 + i, "u", f"{FILL} {i}") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: (r.license, r.from_dir) for r in op9(spark, folder).filter("doc_id < 100").collect()}
+    none = (None, None)
+    assert got == {1: ("MIT", None), 2: ("MIT", "s"), 3: ("GPL-3.0", None), 4: none, 5: none, 6: none, 7: ("MIT", None), 8: ("MIT", "s")}
